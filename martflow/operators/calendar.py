@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.dates import date_key, iso_weekday
 
@@ -73,4 +74,5 @@ def date_dim(
     days = spine.select(*[facts[name].alias(name) for name in UNKNOWN])
     if not unknown:
         return days
-    return days.unionByName(spark.createDataFrame([UNKNOWN], days.schema))
+    nullable = StructType([StructField(f.name, f.dataType) for f in days.schema])
+    return days.unionByName(spark.createDataFrame([UNKNOWN], nullable))

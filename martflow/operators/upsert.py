@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.clean import all_of, any_of
 from ..sources.tables import (
+    by_partition,
     dynamic_overwrite,
     initial_load,
     materialize,
@@ -93,7 +94,7 @@ def upsert(
     slice_ = target.where(any_of([_is_partition(p) for p in touched]))
     merged = materialize(merge_frames(slice_, source, keys, update, hash_col=hash_col))
     with dynamic_overwrite(spark):
-        merged.write.mode("overwrite").insertInto(table)
+        by_partition(merged, parts).write.mode("overwrite").insertInto(table)
     # A row whose partition value changed can leave its old partition empty.
     filled = set(merged.select(*parts).distinct().collect())
     for p in touched:

@@ -65,6 +65,15 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Gather the rows of a table partition into few files.
+
+    Spark merges small partitions and splits large ones, so a partition with
+    most of the rows is still written by many tasks.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def initial_load(
     df: DataFrame,
     table: str,
@@ -73,6 +82,8 @@ def initial_load(
     fmt: str = "parquet",
 ) -> None:
     """Create or replace a table, with its schema, partitioned or clustered."""
+    if partition_by:
+        df = by_partition(df, partition_by)
     writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
