@@ -10,7 +10,7 @@ from ..functions.keys import row_hash
 from ..operators.control import advance, read_watermark, since, table_maxima
 from ..operators.reduce import keep_one
 from ..operators.upsert import append_once, merge_frames, replace_period, upsert
-from ..sources.tables import new_database
+from ..sources.tables import initial_load, new_database
 from .base import query, table
 
 # The stored state holds the orders before this day, and each run reads the
@@ -143,7 +143,7 @@ def q29_replace_period(spark, sf_dir):
     )
     target = f"{new_database(spark)}.monthly"
     march = {"years": "1998", "months": "3"}
-    replace_period(spark, target, orders, {})
+    initial_load(orders, target, partition_by=list(march))
     month = orders.where((F.col("years") == "1998") & (F.col("months") == "3"))
     raised = month.withColumn("amount", (F.col("amount") + 10).cast("decimal(18,2)"))
     for _ in range(2):
