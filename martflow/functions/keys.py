@@ -13,17 +13,20 @@ KEY_SEPARATOR = "||"
 HASH_SEPARATOR = "|"
 UUID_GROUPS = r"(.{8})(.{4})(.{4})(.{4})(.{12})"
 UUID_SHAPE = "$1-$2-$3-$4-$5"
-NULL_MARK = "-"
+NULL_MARK = "\\N"
 
 
 def uuid_shaped(hex_text: Column) -> Column:
     return F.regexp_replace(hex_text, UUID_GROUPS, UUID_SHAPE)
 
 
-def _framed(c: Column) -> Column:
-    """Length-prefixed text, so neither NULL nor a separator can be confused."""
-    value = c.cast("string")
-    return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit(NULL_MARK))
+def _marked(c: Column) -> Column:
+    """Text in which neither NULL nor a separator can be confused.
+
+    The separator cannot occur in the result, nor the NULL mark in a value.
+    """
+    value = F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    return F.coalesce(F.replace(value, F.lit("|"), F.lit("\\p")), F.lit(NULL_MARK))
 
 
 def surrogate_key(cols: Sequence[Column | str], compat: bool = False) -> Column:
@@ -33,7 +36,7 @@ def surrogate_key(cols: Sequence[Column | str], compat: bool = False) -> Column:
     NULLs; use it only to stay equal to keys that are already stored.
     """
     values = [as_col(c) for c in cols]
-    parts = values if compat else [_framed(v) for v in values]
+    parts = values if compat else [_marked(v) for v in values]
     return uuid_shaped(F.md5(F.concat_ws(KEY_SEPARATOR, *parts)))
 
 
@@ -47,5 +50,5 @@ def row_hash(cols: Sequence[Column | str], compat: bool = False) -> Column:
     if compat:
         parts = [F.coalesce(v.cast("string"), F.lit("")) for v in values]
     else:
-        parts = [_framed(v) for v in values]
+        parts = [_marked(v) for v in values]
     return F.md5(F.concat_ws(HASH_SEPARATOR, *parts))

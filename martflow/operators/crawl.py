@@ -11,10 +11,13 @@ def parse_json(df: DataFrame, column: str, schema: str, key: str, keep: Sequence
     """Parse a JSON column into a struct ``j``; rows without the key are dropped.
 
     Parsing is permissive: malformed text or a field of the wrong type gives
-    NULL fields, so only a missing key removes a row.
+    NULL fields, so only a missing key removes a row. The test on the key sits
+    inside the generator: as a plain filter it would be pushed below the
+    projection and parse every document a second time.
     """
-    parsed = df.select(*keep, F.from_json(F.col(column), schema).alias("j"))
-    return parsed.where(F.col(f"j.{key}").isNotNull())
+    parsed = F.array(F.from_json(F.col(column), schema))
+    valid = F.filter(parsed, lambda j: j[key].isNotNull())
+    return df.select(*keep, F.explode(valid).alias("j"))
 
 
 def explode_items(df: DataFrame, items: str, keep: Sequence[Column | str], alias: str = "o") -> DataFrame:

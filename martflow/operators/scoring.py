@@ -96,12 +96,11 @@ def encode(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame
     out = df
     for c in columns:
         table = codes.where(F.col("attribute") == c).select(
-            F.col("value").alias("__value"), F.col("code").alias("__code")
+            F.col("value").alias("__value"), F.col("code").cast("double").alias("__code")
         )
-        coded = {**{x: F.col(x) for x in df.columns}}
-        coded[c] = F.coalesce("__code", F.lit(UNSEEN_CODE)).cast("double")
-        joined = out.join(table, F.coalesce(F.col(c), F.lit(UNKNOWN)) == F.col("__value"), "left")
-        out = joined.select(*[e.alias(n) for n, e in coded.items()])
+        same = F.coalesce(F.col(c), F.lit(UNKNOWN)) == F.col("__value")
+        code = F.coalesce(F.col("__code"), F.lit(float(UNSEEN_CODE)))
+        out = out.join(table, same, "left").withColumn(c, code).drop("__value", "__code")
     return out
 
 

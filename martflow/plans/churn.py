@@ -139,8 +139,9 @@ def features(
 
 def model_input(matrix: DataFrame, codes: DataFrame) -> DataFrame:
     """Encoded categories and plain numbers, ready to scale."""
-    coded = encode(numeric_as_double(matrix), codes, CATEGORIES)
-    return coded.withColumns({c: numeric(c) for c in STATIC_FEATURES})
+    used = matrix.select(CUSTOMER, *STATIC_FEATURES)
+    coded = encode(numeric_as_double(used), codes, CATEGORIES)
+    return coded.select(CUSTOMER, *[numeric(c).alias(c) for c in STATIC_FEATURES])
 
 
 def fit(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +182,7 @@ def score_with(
     """Score with any two-input model, in batches on the executors."""
     ready = scale(model_input(matrix, codes), read_scaler(scaler))
     steps = scale_sequence(sequences, SEQUENCE, SEQUENCE_COLUMNS, read_scaler(sequence_scaler))
-    both = ready.select(CUSTOMER, *STATIC_FEATURES).join(steps, CUSTOMER)
+    both = ready.join(steps, CUSTOMER)
     return _scored(score_batches(both, predict, STATIC_FEATURES, SEQUENCE), version)
 
 

@@ -48,7 +48,8 @@ stockLastUpdate STRING, aggregatedStatus BIGINT, aggregatedStatusText STRING,
 aggregatedStock BIGINT, aggregatedSupplierItems BIGINT, contractTypeId BIGINT,
 contractTypeName STRING
 """
-CRAWL_SCHEMA = f"{PRODUCT_FIELDS.rstrip()}, supplierItems ARRAY<STRUCT<{OFFER_FIELDS.strip()}>>"
+OFFERS_FIELD = f"supplierItems ARRAY<STRUCT<{OFFER_FIELDS.strip()}>>"
+CRAWL_SCHEMA = f"{PRODUCT_FIELDS.rstrip()}, {OFFERS_FIELD}"
 
 # Output column, source column, rule.
 PRODUCT = layout("""
@@ -145,9 +146,12 @@ def _typed(fields: tuple[Field, ...]) -> list[Column]:
 
 
 def marketplace_products(crawl: DataFrame, watermark: dt.date | None = None) -> DataFrame:
-    """The latest crawl of each product, with its change hash."""
+    """The latest crawl of each product, with its change hash.
+
+    Only the product fields are parsed, not the offers.
+    """
     recent = since(crawl, "fetched_at", watermark)
-    parsed = parse_json(recent, "raw_json", CRAWL_SCHEMA, "puid", ["fetched_at"])
+    parsed = parse_json(recent, "raw_json", PRODUCT_FIELDS, "puid", ["fetched_at"])
     rows = parsed.select("fetched_at", *_typed(PRODUCT))
     compared = [c for c in names(PRODUCT) if c != "puid"]
     hashed = rows.withColumn(HASH, row_hash(compared))
@@ -165,7 +169,8 @@ def marketplace_offers(
     ``own_supplier`` is the name the own company lists its offers under.
     """
     recent = since(crawl, "fetched_at", watermark)
-    parsed = parse_json(recent, "raw_json", CRAWL_SCHEMA, "puid", ["fetched_at", "source"])
+    fields = f"puid BIGINT, {OFFERS_FIELD}"
+    parsed = parse_json(recent, "raw_json", fields, "puid", ["fetched_at", "source"])
     keep = ["fetched_at", "source", F.col("j.puid").alias("puid")]
     offers = explode_items(parsed, "j.supplierItems", keep).select(
         "fetched_at", "source", "puid", *_typed(OFFER)

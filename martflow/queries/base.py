@@ -86,12 +86,10 @@ TABLES = (
 )
 
 
-def sql_framed(*expressions: str) -> str:
-    """Length-prefixed values, as the keys and hashes use them."""
-    return ", ".join(
-        f"coalesce(length(CAST({e} AS VARCHAR)) || ':' || CAST({e} AS VARCHAR), '-')"
-        for e in expressions
-    )
+def sql_marked(*expressions: str) -> str:
+    """Values with NULL and separators marked, as the keys and hashes use them."""
+    escaped = r"replace(replace(CAST({e} AS VARCHAR), '\', '\\'), '|', '\p')"
+    return ", ".join(rf"coalesce({escaped.format(e=e)}, '\N')" for e in expressions)
 
 
 def sql_uuid(text: str) -> str:
@@ -101,9 +99,9 @@ def sql_uuid(text: str) -> str:
 
 def sql_key(*expressions: str) -> str:
     """The SQL of a surrogate key."""
-    return sql_uuid(f"concat_ws('||', {sql_framed(*expressions)})")
+    return sql_uuid(f"concat_ws('||', {sql_marked(*expressions)})")
 
 
 def sql_hash(*expressions: str) -> str:
     """The SQL of a row hash."""
-    return f"md5(concat_ws('|', {sql_framed(*expressions)}))"
+    return f"md5(concat_ws('|', {sql_marked(*expressions)}))"

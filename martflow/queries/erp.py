@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.scd import scd2_apply
 from ..plans import dimensions as dims
 from ..plans.history import DIMENSIONS, first_history
+from ..sources.tables import materialize
 from .base import Derived, sql_key
 
 CUSTOMERS = Derived("""
@@ -341,18 +342,19 @@ UNION ALL SELECT {new}, {second}, NULL FROM ({s.sql}) WHERE {late} AND ({s.chang
 
 
 def snapshots(spark, sf_dir, name: str) -> tuple[DataFrame, DataFrame]:
-    """The two snapshots of a staged dimension."""
+    """The two snapshots of a staged dimension, which is computed once."""
     s = STAGED[name]
-    staged = s.frame(spark, sf_dir)
+    staged = materialize(s.frame(spark, sf_dir))
     changed = {c: F.when(F.expr(s.changes), F.concat(c, F.lit("*"))).otherwise(F.col(c)) for c in (s.text, s.surrogate)}
     return staged.where(f"NOT ({s.arrives})"), staged.where(f"NOT ({s.absent})").withColumns(changed)
 
 
 def history(spark, sf_dir, name: str) -> DataFrame:
-    """The history after the two snapshots."""
+    """The history after the two snapshots, stored as a dimension would be."""
     first, second = snapshots(spark, sf_dir, name)
     spec = DIMENSIONS[name]
-    return scd2_apply(first_history(first, FIRST), second, spec.keys, spec.tracked, SECOND)
+    versions = scd2_apply(first_history(first, FIRST), second, spec.keys, spec.tracked, SECOND)
+    return materialize(versions)
 
 
 STAGED: dict[str, Staged] = {}

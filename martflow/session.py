@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM leaves methods over 8000 bytes uncompiled. Wide hashes and wide
+    # projections exceed that, and run faster as separate smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
