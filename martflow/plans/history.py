@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.scd import END, START, current, scd2_changes
+from ..operators.upsert import new_rows
 from ..sources.tables import dynamic_overwrite, initial_load, materialize, table_exists
 
 
@@ -112,11 +113,12 @@ def apply_snapshot(
     changes = scd2_changes(
         current(history.where(F.col(SLICE) == OPEN)), snapshot, dimension.keys, dimension.tracked, at
     )
-    month = at.strftime("%Y-%m")
-    # A retry finds what the failed run closed and must not lose or repeat it.
-    earlier = history.where((F.col(SLICE) == month) & (F.col(END) < F.lit(at).cast("timestamp_ntz")))
-    fresh = changes.withColumns(_slice()).select(*history.columns)
-    slices = materialize(fresh.unionByName(earlier))
+    fresh = materialize(changes.withColumns(_slice()).select(*history.columns))
+    # The month already holds what earlier runs closed, and a failed run may
+    # have stored what this one closes, so a version counts once.
+    month = history.where(F.col(SLICE) == at.strftime("%Y-%m"))
+    kept = new_rows(fresh.where(F.col(SLICE) != OPEN), month, [*dimension.keys, START])
+    slices = materialize(fresh.unionByName(kept))
     # Closed versions first: until the open slice follows, a retry redoes both.
     with dynamic_overwrite(spark):
         slices.where(F.col(SLICE) != OPEN).write.mode("overwrite").insertInto(table)
