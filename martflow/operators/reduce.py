@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "__rank"
+KEY = "__key"
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -36,11 +37,21 @@ def argmax_rows(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     return df.withColumn(_RANK, F.rank().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
+def with_key(df: DataFrame, keys: Sequence[str], like: DataFrame | None = None) -> DataFrame:
+    """Add the key columns as one struct, with the types they have in ``like``.
+
+    Structs compare NULL fields as equal, so an equi-join on the struct is
+    null-safe, and a window over it shares the shuffle and sort of the join.
+    """
+    types = (df if like is None else like).schema
+    return df.withColumn(KEY, F.struct(*[F.col(k).cast(types[k].dataType).alias(k) for k in keys]))
+
+
 def unique_or_fail(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """Pass the rows through; fail the job on a second row of a key.
 
-    The check rides on the partitioning and sort a following join on the same
-    keys needs anyway, so it adds no shuffle.
+    The check rides on the partitioning and sort that a reduction before it or
+    a join after it needs on the same columns, so it adds no shuffle there.
     """
     window = Window.partitionBy(*keys).orderBy(*keys)
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])

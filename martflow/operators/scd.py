@@ -7,8 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.clean import all_of, any_of
-from .reduce import unique_or_fail
+from ..functions.clean import any_of
+from .reduce import KEY, unique_or_fail, with_key
 
 # Validity columns, [start, end), NULL end for the open version.
 START = "__START_AT"
@@ -106,9 +106,9 @@ def scd2_changes(
     kind = open_versions.schema[START].dataType
     now = F.lit(at).cast(kind)
     attributes = [c for c in snapshot.columns]
-    old = open_versions.withColumn("__known", F.lit(True)).alias("old")
-    new = unique_or_fail(snapshot, keys, "snapshot").withColumn("__seen", F.lit(True)).alias("new")
-    same_key = all_of([F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
+    keyed = unique_or_fail(with_key(snapshot, keys, open_versions), [KEY], "snapshot")
+    old = with_key(open_versions, keys).withColumn("__known", F.lit(True)).alias("old")
+    new = keyed.withColumn("__seen", F.lit(True)).alias("new")
 
     known, seen = F.col("__known").isNotNull(), F.col("__seen").isNotNull()
     changed = any_of([~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in tracked])
@@ -124,7 +124,7 @@ def scd2_changes(
         F.when(seen, version("new", begun, still_open)),
     )
     return (
-        old.join(new, same_key, "full_outer")
+        old.join(new, F.col(f"old.{KEY}") == F.col(f"new.{KEY}"), "full_outer")
         .select(F.explode(F.array_compact(versions)).alias("v"))
         .select("v.*")
     )

@@ -15,7 +15,7 @@ from ..sources.tables import (
     partition_columns,
     table_exists,
 )
-from .reduce import unique_or_fail
+from .reduce import KEY, unique_or_fail, with_key
 
 HASH = "row_hash"
 
@@ -43,9 +43,10 @@ def merge_frames(
     if hash_col and hash_col not in update:
         update.append(hash_col)
 
-    old = target.withColumn("__in_target", F.lit(True)).alias("t")
-    new = unique_or_fail(source, keys, "upsert source").withColumn("__in_source", F.lit(True)).alias("s")
-    same_key = all_of([F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    keyed = unique_or_fail(with_key(source, keys, target), [KEY], "upsert source")
+    old = with_key(target, keys).withColumn("__in_target", F.lit(True)).alias("t")
+    new = keyed.withColumn("__in_source", F.lit(True)).alias("s")
+    same_key = F.col(f"t.{KEY}") == F.col(f"s.{KEY}")
     inserted = F.col("__in_target").isNull()
     changed = F.col("__in_source").isNotNull()
     if hash_col:

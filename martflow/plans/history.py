@@ -7,9 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.reduce import unique_or_fail
 from ..operators.scd import END, START, current, scd2_changes
 from ..operators.upsert import new_rows
-from ..sources.tables import dynamic_overwrite, initial_load, materialize, table_exists
+from ..sources.tables import (
+    by_partition,
+    dynamic_overwrite,
+    initial_load,
+    materialize,
+    table_exists,
+)
 
 
 @dataclass(frozen=True)
@@ -103,32 +110,37 @@ def apply_snapshot(
     The time of the last snapshot is a property of the table, so a replay after
     a failure is recognised and changes nothing.
     """
-    empty = first_history(snapshot, at).where(F.lit(False)).withColumns(_slice())
     if not table_exists(spark, table):
-        initial_load(empty, table, partition_by=[SLICE])
+        first = first_history(unique_or_fail(snapshot, dimension.keys, "snapshot"), at)
+        initial_load(first.withColumns(_slice()), table, partition_by=[SLICE])
+        _mark_applied(spark, table, at)
+        return True
     done = applied_snapshot(spark, table)
     if done is not None and at <= done:
         return False
     history = spark.read.table(table)
-    changes = scd2_changes(
-        current(history.where(F.col(SLICE) == OPEN)), snapshot, dimension.keys, dimension.tracked, at
-    )
+    open_versions = current(history.where(F.col(SLICE) == OPEN))
+    changes = scd2_changes(open_versions, snapshot, dimension.keys, dimension.tracked, at)
     fresh = materialize(changes.withColumns(_slice()).select(*history.columns))
+    closed, still_open = fresh.where(F.col(SLICE) != OPEN), fresh.where(F.col(SLICE) == OPEN)
     # The month already holds what earlier runs closed, and a failed run may
     # have stored what this one closes, so a version counts once.
     month = history.where(F.col(SLICE) == at.strftime("%Y-%m"))
-    kept = new_rows(fresh.where(F.col(SLICE) != OPEN), month, [*dimension.keys, START])
-    slices = materialize(fresh.unionByName(kept))
+    kept = materialize(new_rows(closed, month, [*dimension.keys, START]))
     # Closed versions first: until the open slice follows, a retry redoes both.
     with dynamic_overwrite(spark):
-        slices.where(F.col(SLICE) != OPEN).write.mode("overwrite").insertInto(table)
-        slices.where(F.col(SLICE) == OPEN).write.mode("overwrite").insertInto(table)
-    if slices.where(F.col(SLICE) == OPEN).isEmpty():
+        for rows in (closed.unionByName(kept), still_open):
+            by_partition(rows, [SLICE]).write.mode("overwrite").insertInto(table)
+    if still_open.isEmpty():
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({SLICE} = '{OPEN}')")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{APPLIED}' = '{at.isoformat()}')")
+    _mark_applied(spark, table, at)
     return True
 
 
+def _mark_applied(spark: SparkSession, table: str, at: dt.datetime) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{APPLIED}' = '{at.isoformat()}')")
+
+
 def applied_snapshot(spark: SparkSession, table: str) -> dt.datetime | None:
     """Time of the last snapshot applied to a stored history."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == APPLIED).collect()

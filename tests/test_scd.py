@@ -60,6 +60,11 @@ def test_older_or_equal_snapshot_changes_nothing(spark):
     assert rows(again) == rows(versions)
 
 
+def test_a_missing_key_is_a_key(spark):
+    versions = fold(spark, [[(None, "a", 1)], [(None, "a", 2)], [(None, "b", 2)]])
+    assert rows(versions) == sorted([(None, "a", 2, T[0], T[2]), (None, "b", 2, T[2], None)], key=str)
+
+
 def test_duplicate_key_fails(spark):
     with pytest.raises(Exception, match="duplicate key in snapshot"):
         fold(spark, [[(1, "a", 1)], [(1, "b", 1), (1, "c", 1)]]).collect()

@@ -65,6 +65,16 @@ def test_key_twice_in_the_source_fails(spark, database):
         upsert(spark, f"{database}.t", twice, ["k"])
 
 
+def test_each_side_is_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = merge_frames(frame(spark, [(1, "x", "a", "o")]), frame(spark, [(2, "x", "b", "n")]), ["k", "p"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2
+
+
 def test_an_error_never_replaces_the_table(spark, database):
     table = f"{database}.t"
     upsert(spark, table, frame(spark, [(1, "x", "a", "old"), (2, "y", "b", "old")]), ["k"])
