@@ -27,12 +27,15 @@ def merge_frames(
     update: Sequence[str] | None = None,
     insert: bool = True,
     hash_col: str | None = HASH,
+    newest: str | None = None,
 ) -> DataFrame:
     """The target after an upsert, as a plan.
 
     A matched row changes only if its hash differs (always, without a hash
     column); then the ``update`` columns and the hash come from the source.
-    NULL keys match each other. A key twice in the source fails the job.
+    ``newest`` names a time column that must not go back: late rows lose, and
+    of equally new rows the one with the smaller hash stays. NULL keys match
+    each other. A key twice in the source fails the job.
     """
     columns = target.columns
     update = list(columns if update is None else update)
@@ -51,6 +54,12 @@ def merge_frames(
     changed = F.col("__in_source").isNotNull()
     if hash_col:
         changed &= ~F.col(f"t.{hash_col}").eqNullSafe(F.col(f"s.{hash_col}"))
+    if newest:
+        ours, theirs = F.col(f"t.{newest}"), F.col(f"s.{newest}")
+        tie = F.lit(True)
+        if hash_col:
+            tie = F.col(f"s.{hash_col}") < F.col(f"t.{hash_col}")
+        changed &= ours.isNull() | (theirs > ours) | ((theirs == ours) & tie)
 
     def merged(c: str) -> Column:
         if c in update:
@@ -74,6 +83,7 @@ def upsert(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     hash_col: str | None = HASH,
+    newest: str | None = None,
 ) -> None:
     """Upsert into a stored table; the first run creates it.
 
@@ -88,12 +98,16 @@ def upsert(
     target = spark.read.table(table)
     parts = partition_columns(spark, table)
     if not parts:
-        merged = materialize(merge_frames(target, source, keys, update, hash_col=hash_col))
+        merged = materialize(
+            merge_frames(target, source, keys, update, hash_col=hash_col, newest=newest)
+        )
         merged.write.mode("overwrite").insertInto(table)
         return
     touched = _touched_partitions(target, source, keys, parts)
     slice_ = target.where(any_of([_is_partition(p) for p in touched]))
-    merged = materialize(merge_frames(slice_, source, keys, update, hash_col=hash_col))
+    merged = materialize(
+        merge_frames(slice_, source, keys, update, hash_col=hash_col, newest=newest)
+    )
     with dynamic_overwrite(spark):
         by_partition(merged, parts).write.mode("overwrite").insertInto(table)
     # A row whose partition value changed can leave its old partition empty.

@@ -39,6 +39,7 @@ from ..operators.scoring import (
     score_batches,
 )
 from ..operators.upsert import replace_period
+from ..sources.tables import materialize
 
 # Inputs of the model.
 CATEGORIES = ("customer_type", "customer_segment", "country", "region")
@@ -146,7 +147,7 @@ def model_input(matrix: DataFrame, codes: DataFrame) -> DataFrame:
 
 def fit(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Category codes and feature scaler, to be stored with the model."""
-    codes = fit_categories(matrix, CATEGORIES)
+    codes = materialize(fit_categories(matrix, CATEGORIES))
     return codes, fit_scaler(model_input(matrix, codes), STATIC_FEATURES)
 
 

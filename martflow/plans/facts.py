@@ -18,7 +18,10 @@ from ..operators.temporal import asof_lookup
 from ..operators.upsert import HASH, upsert
 
 AUDIT = "dw_loaded_at"
-MONTH = "event_month"
+PERIOD = "event_period"
+
+# Size of a storage partition. Frequent runs over large facts rewrite less by day.
+GRAINS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
 @dataclass(frozen=True)
@@ -854,10 +857,14 @@ def load_fact(
     rows: DataFrame,
     dims: Mapping[str, DataFrame],
     loaded_at: Column | None = None,
+    grain: str = "month",
 ) -> None:
-    """Upsert staged rows into the stored fact, by month of the event."""
+    """Upsert staged rows into the stored fact, partitioned by event period.
+
+    A stored fact keeps the grain it was first loaded with.
+    """
     built = build_fact(fact, rows, dims, loaded_at)
-    built = built.withColumn(MONTH, F.date_format(fact.event, "yyyy-MM"))
-    # The month follows from the event date, so it may join the key and prune.
-    keys = [*fact.keys, MONTH] if fact.event in fact.keys else list(fact.keys)
-    upsert(spark, f"{schema}.{fact.table}", built, keys, partition_by=[MONTH])
+    built = built.withColumn(PERIOD, F.date_format(fact.event, GRAINS[grain]))
+    # The period follows from the event date, so it may join the key and prune.
+    keys = [*fact.keys, PERIOD] if fact.event in fact.keys else list(fact.keys)
+    upsert(spark, f"{schema}.{fact.table}", built, keys, partition_by=[PERIOD])

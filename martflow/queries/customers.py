@@ -253,7 +253,7 @@ FROM matrix
 """)
 def q40_feature_matrix(spark, sf_dir):
     matrix = materialize(_matrix(spark, sf_dir))
-    codes = churn.fit_categories(matrix, churn.CATEGORIES)
+    codes = materialize(churn.fit_categories(matrix, churn.CATEGORIES))
     ready = churn.model_input(matrix, codes).select("sk_customer_id", *churn.STATIC_FEATURES)
     return _rounded(ready, _MATRIX_SIX)
 

@@ -10,6 +10,9 @@ SETTINGS = {
     # Skewed join partitions are split and small ones merged at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where a later grouping could reuse the partitions: a key with a third
+    # of the rows costs more than one more shuffle of partial results.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The JVM leaves methods over 8000 bytes uncompiled. Wide hashes and wide

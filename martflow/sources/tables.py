@@ -50,6 +50,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Mark a frame for broadcast if it is counted to be small.
+
+    For short rows only. A larger frame stays an ordinary join side. Counting
+    stops after ``max_rows``, so checking a large frame is cheap too.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def new_database(spark: SparkSession, label: str = "mart") -> str:
     """A fresh database below the work folder."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"

@@ -29,12 +29,8 @@ def follow_changes(
     def apply(batch: DataFrame, _: int) -> None:
         compared = [c for c in batch.columns if c not in keys]
         hashed = batch.withColumn(HASH, row_hash(compared))
-        if spark.catalog.tableExists(table):
-            # A late row must not replace a newer one that is stored already.
-            stored = spark.read.table(table).join(hashed.select(*keys).distinct(), list(keys), "left_semi")
-            hashed = hashed.unionByName(stored.select(*hashed.columns))
         latest = keep_one(hashed, keys, [F.col(newest).desc(), HASH])
-        upsert(spark, table, latest, keys, partition_by=partition_by)
+        upsert(spark, table, latest, keys, partition_by=partition_by, newest=newest)
 
     return (
         changes.writeStream.foreachBatch(apply)

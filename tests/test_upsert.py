@@ -49,6 +49,17 @@ def test_null_keys_match_each_other(spark):
     assert plain(merge_frames(got, source, ["k", "p"])) == [(None, "x", "b", "new")]
 
 
+def test_late_rows_lose(spark):
+    target = frame(spark, [(1, "x", "5", "old"), (2, "x", "5", "old"), (3, "x", None, "old")])
+    source = frame(spark, [(1, "y", "4", "new"), (2, "y", "6", "new"), (3, "y", "1", "new"), (4, "y", "1", "new")])
+    got = merge_frames(target, source, ["k"], newest="v")
+    assert plain(got) == [(1, "x", "5", "old"), (2, "y", "6", "new"), (3, "y", "1", "new"), (4, "y", "1", "new")]
+    tied = frame(spark, [(1, "z", "5", "new")])
+    forth = merge_frames(target.where("k = 1"), tied, ["k"], newest="v").first()["p"]
+    back = merge_frames(tied, target.where("k = 1"), ["k"], newest="v").first()["p"]
+    assert forth == back
+
+
 def test_column_sets_are_checked_first(spark):
     target = frame(spark, [(1, "x", "a", "old")])
     with pytest.raises(ValueError, match="missing in target: nothing"):
