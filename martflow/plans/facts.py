@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clean import code_label, days_between, default, home_amount, per_rate
 from ..functions.keys import row_hash
 from ..functions.layout import Field, columns, layout, with_optional
-from ..operators.control import since
+from ..operators.control import read_watermark, since
 from ..operators.documents import header_lines
 from ..operators.reduce import keep_one
 from ..operators.temporal import asof_lookup
@@ -868,3 +868,36 @@ def load_fact(
     # The period follows from the event date, so it may join the key and prune.
     keys = [*fact.keys, PERIOD] if fact.event in fact.keys else list(fact.keys)
     upsert(spark, f"{schema}.{fact.table}", built, keys, partition_by=[PERIOD])
+
+
+def run_fact(
+    spark: SparkSession,
+    schema: str,
+    fact: Fact,
+    stage: Callable[[dt.date | None], DataFrame],
+    dims: Mapping[str, DataFrame],
+    control: DataFrame,
+    loaded_at: Column | None = None,
+) -> None:
+    """One incremental run: stage the rows since the watermark and upsert them."""
+    load_fact(spark, schema, fact, stage(watermark_of(fact, control)), dims, loaded_at)
+
+
+def run_document(
+    spark: SparkSession,
+    schema: str,
+    header: Fact,
+    lines: Fact,
+    stage: Callable[[dt.date | None], tuple[DataFrame, DataFrame]],
+    dims: Mapping[str, DataFrame],
+    control: DataFrame,
+    loaded_at: Column | None = None,
+) -> None:
+    """One incremental run of a document: header fact, then line fact."""
+    grains = stage(watermark_of(header, control))
+    for fact, rows in zip((header, lines), grains):
+        load_fact(spark, schema, fact, rows, dims, loaded_at)
+
+
+def watermark_of(fact: Fact, control: DataFrame) -> dt.date | None:
+    return None if fact.watermark is None else read_watermark(control, *fact.watermark)

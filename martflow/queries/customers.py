@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import Periods
 from ..operators import features as feat
+from ..operators.observe import observed
 from ..operators.scoring import FLAG_RULES, NO_FLAG, band, explain, read_scaler, scale
 from ..operators.scoring import fit_scaler, score_batches
 from ..plans import churn
-from ..sources.tables import materialize, new_database
+from ..sources.tables import mark_run, materialize, materialized_view, new_database
 from .base import Derived, query, table
 
 AS_OF = dt.date(2001, 8, 1)
@@ -412,3 +413,34 @@ def churn_risk_details(spark, sf_dir):
     for _ in range(2):
         churn.load_risk_details(spark, target, details, AS_OF)
     return _rounded(spark.read.table(target), ["return_rate_pct"], [])
+
+
+@query(f"""
+WITH {_ELIGIBLE}, {_RFM}
+SELECT count(*) AS "rows", count(*) FILTER (freq_yoy_change_pct IS NULL) AS nulls_freq_yoy_change_pct,
+  count(*) FILTER (monetary_total IS NULL) AS nulls_monetary_total FROM rfm
+""")
+def q53_feature_diagnostics(spark, sf_dir):
+    """Row and null counts taken while the features are written."""
+    rows = feat.rfm(feat.eligible(invoices(spark, sf_dir), PERIODS), PERIODS)
+    watched, watch = observed(rows, ["freq_yoy_change_pct", "monetary_total"])
+    materialize(watched)
+    kinds = ", ".join(f"{name} BIGINT" for name in watch.get)
+    return spark.createDataFrame([tuple(watch.get.values())], kinds)
+
+
+@query("""
+SELECT o_custkey AS sk_customer_id, count(*) AS orders FROM orders GROUP BY 1
+""")
+def q54_materialized_view(spark, sf_dir):
+    """A recomputed table with comment, clustering and properties, and a run marker."""
+    database = new_database(spark)
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("sk_customer_id"))
+    counts = orders.agg(F.count(F.lit(1)).alias("orders"))
+    for _ in range(2):
+        materialized_view(
+            spark, counts, f"{database}.counts", "Orders per customer", ["sk_customer_id"], {"layer": "gold"}
+        )
+        mark_run(spark, f"{database}.runs")
+    assert spark.read.table(f"{database}.runs").count() == 2
+    return spark.read.table(f"{database}.counts")

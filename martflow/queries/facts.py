@@ -6,14 +6,16 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.control import advance_table
 from ..plans import facts
-from ..plans.facts import FACTS, build_fact, load_fact
+from ..plans.facts import FACTS, build_fact, run_document, run_fact
 from ..sources.tables import new_database
 from . import erp
 from .base import Derived, query
 
 WATERMARK = dt.date(1996, 3, 1)
 LOADED = dt.datetime(2024, 1, 1)
+CONTROL = "table_name STRING, column_name STRING, date_control DATE, previous_days INT"
 
 # A position number that is unique within its document.
 _POSITION = "(l_partkey * 100000 + l_suppkey) * 10 + l_linenumber"
@@ -391,22 +393,69 @@ FROM ({RECEIPTS.sql}) r {_supplier_sql("lpliefnr", "lpdatum", "timestamp")}
 WHERE lpdatum >= {_SINCE}
 """)
 def fact_goods_receipt_lines(spark, sf_dir):
-    """Loaded into a stored table in two overlapping runs."""
+    """Two overlapping incremental runs, with the watermark advanced between."""
     fact = FACTS["fact_goods_receipt_lines"]
     dims = _dims(spark, sf_dir, "supplier", "product")
     schema = new_database(spark)
+    control = f"{schema}.control"
+    marks = [(*fact.watermark, WATERMARK, 200)]
+    spark.createDataFrame(marks, CONTROL).write.saveAsTable(control)
     receipts = RECEIPTS.frame(spark, sf_dir)
     moment = F.lit(LOADED).cast("timestamp_ntz")
-    early = facts.stage_goods_receipt(receipts.where("lpdatum < '1999-01-01'"), WATERMARK)
-    late = facts.stage_goods_receipt(receipts, dt.date(1998, 6, 1))
-    for rows in (early, late):
-        load_fact(spark, schema, fact, rows, dims, moment)
+    for arrived in (receipts.where("lpdatum < '1999-01-01'"), receipts):
+        run_fact(
+            spark,
+            schema,
+            fact,
+            lambda mark, rows=arrived: facts.stage_goods_receipt(rows, mark),
+            dims,
+            spark.read.table(control),
+            moment,
+        )
+        advance_table(spark, control, schema)
     return spark.read.table(f"{schema}.{fact.table}").select(
         *"""nk_receipt_id nk_document_id nk_document_no position_seq_no sk_supplier_id sk_product_id warehouse
         receipt_date quantity_received is_defective quantity_defective warranty_months""".split()
     )
 
 
+@query(f"""
+SELECT 'fact_sales_order_header' AS table_name, 'transaction_date' AS column_name, 30 AS previous_days,
+  CAST(max(CAST(o_orderdate AS DATE)) - 30 AS VARCHAR) AS date_control, count(*) AS documents,
+  (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    WHERE o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED')) AS positions
+FROM orders WHERE o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED')
+  AND o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def etl_control_update(spark, sf_dir):
+    """A first full run of sales orders without a watermark, then one with it."""
+    header, lines = FACTS["fact_sales_order_header"], FACTS["fact_sales_order_lines"]
+    dims = _dims(spark, sf_dir, "customer", "salesperson", "product")
+    schema = new_database(spark)
+    control = f"{schema}.control"
+    marks = [(*header.watermark, None, 30)]
+    spark.createDataFrame(marks, CONTROL).write.saveAsTable(control)
+    headers, positions = SALES_HEADERS.frame(spark, sf_dir), SALES_LINES.frame(spark, sf_dir)
+    for _ in range(2):
+        run_document(
+            spark,
+            schema,
+            header,
+            lines,
+            lambda mark: facts.stage_sales_order(headers, positions, mark),
+            dims,
+            spark.read.table(control),
+            F.lit(LOADED).cast("timestamp_ntz"),
+        )
+        advance_table(spark, control, schema)
+    marked = spark.read.table(control)
+    for fact, name in ((header, "documents"), (lines, "positions")):
+        stored = spark.read.table(f"{schema}.{fact.table}")
+        count = stored.groupBy(F.lit(header.table).alias("table_name")).agg(F.count(F.lit(1)).alias(name))
+        marked = marked.join(count, "table_name")
+    return marked
+
+
 _PRICE_SQL = f"""SELECT p.sk_product_id, anpid AS price_id, trim(coalesce(aapbez, '')) AS price_label,
   trim(anwaehrung) AS currency, coalesce(aapbrucalc, false) AS is_gross_calc,
   CAST(coalesce(anvkpreis, 0) AS DOUBLE) AS price_net, anprnull > 0 AS allow_zero_price,
