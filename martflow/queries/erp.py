@@ -341,17 +341,18 @@ UNION ALL SELECT *, {second}, NULL FROM ({s.sql}) WHERE {late} AND {plain}
 UNION ALL SELECT {new}, {second}, NULL FROM ({s.sql}) WHERE {late} AND ({s.changes})"""
 
 
-def snapshots(spark, sf_dir, name: str) -> tuple[DataFrame, DataFrame]:
+def snapshots(spark, sf_dir, name: str, narrow: bool = False) -> tuple[DataFrame, DataFrame]:
     """The two snapshots of a staged dimension, which is computed once."""
     s = STAGED[name]
-    staged = materialize(s.frame(spark, sf_dir))
+    staged = s.frame(spark, sf_dir)
+    staged = materialize(staged.select(*s.shown) if narrow else staged)
     changed = {c: F.when(F.expr(s.changes), F.concat(c, F.lit("*"))).otherwise(F.col(c)) for c in (s.text, s.surrogate)}
     return staged.where(f"NOT ({s.arrives})"), staged.where(f"NOT ({s.absent})").withColumns(changed)
 
 
 def history(spark, sf_dir, name: str) -> DataFrame:
-    """The history after the two snapshots, stored as a dimension would be."""
-    first, second = snapshots(spark, sf_dir, name)
+    """The history after the two snapshots, stored for lookups."""
+    first, second = snapshots(spark, sf_dir, name, narrow=True)
     spec = DIMENSIONS[name]
     versions = scd2_apply(first_history(first, FIRST), second, spec.keys, spec.tracked, SECOND)
     return materialize(versions)

@@ -83,3 +83,37 @@ def test_all_versions_or_the_open_one(spark, dim):
         ("b", None),
         ("c", None),
     ]
+
+
+def test_hot_key_is_split(spark):
+    """One customer holds most events; its partition is read by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 > 0, F.col("id") % 50).otherwise(F.lit(0))
+        at = F.timestamp_add("SECOND", F.col("id"), F.lit(D(2024, 1, 1)).cast("timestamp_ntz"))
+        events = spark.range(0, 60000, 1, 8).select("id", key.alias("k"), at.alias("at"))
+        starts = [(k, f"{k}/{v}", D(2024, 1, 1, 8 * v), D(2024, 1, 1, 8 * v + 8)) for k in range(50) for v in (0, 1)]
+        dim = spark.createDataFrame(starts, f"k long, sk string, {START} timestamp_ntz, {END} timestamp_ntz")
+        found = asof_lookup(events, dim, [("k", "k")], "at", ["sk"], "timestamp")
+        counts = found.groupBy("k", "sk").agg(F.count(F.lit(1)).alias("n"))
+        got = {(r["k"], r["sk"]): r["n"] for r in counts.collect()}
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        expected = {}
+        for i in range(60000):
+            k = i % 50 if i % 3 else 0
+            sk = f"{k}/{i // 28800}" if i < 57600 else None
+            expected[k, sk] = expected.get((k, sk), 0) + 1
+        assert got == expected
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
