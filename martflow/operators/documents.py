@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clean import all_of
 
@@ -13,6 +13,7 @@ def header_lines(
     headers: DataFrame,
     lines: DataFrame,
     on: Sequence[tuple[str, str]],
+    columns: Sequence[Column | str],
     how: str = "left",
 ) -> tuple[DataFrame, DataFrame]:
     """Split a document source into header grain and line grain.
@@ -20,13 +21,19 @@ def header_lines(
     The header grain comes straight from the headers. It needs no join for a
     left join, and only a semi join on the distinct document ids for an inner
     join, so headers are never fanned out over their lines and reduced again.
-    The line grain is the header-to-lines join.
+
+    The line grain is the projection ``columns`` of the join. A document may
+    hold a large share of all lines, and Spark can split such a partition of
+    lines in an inner join but not in a left join. So headers without lines are
+    added by an anti join on the distinct ids.
     """
     match = all_of([F.col(h) == F.col(l) for h, l in on])
-    joined = headers.join(lines, match, how)
-    if how == "left":
-        return headers, joined
-    if how != "inner":
-        raise ValueError(f"documents join with 'left' or 'inner', not {how!r}")
     ids = lines.select(*[l for _, l in on]).distinct()
-    return headers.join(ids, match, "left_semi"), joined
+    detail = headers.join(lines, match).select(*columns)
+    if how == "inner":
+        return headers.join(ids, match, "left_semi"), detail
+    if how != "left":
+        raise ValueError(f"documents join with 'left' or 'inner', not {how!r}")
+    bare = headers.join(ids, match, "left_anti")
+    no_lines = bare.join(lines.where(F.lit(False)), match, "left").select(*columns)
+    return headers, detail.unionByName(no_lines)

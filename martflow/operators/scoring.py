@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..sources.tables import broadcast_if_small
+from ..sources.tables import broadcast_if_small, materialize
 
 # Risk bands, upper bound included.
 BANDS = ((0.3, "Low"), (0.6, "Medium"), (1.0, "High"))
@@ -82,15 +82,25 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Code table ``attribute, value, code``: values in order, from 0.
 
     Fit once and store it, so a category keeps its code in later batches. Only
-    the distinct values are shuffled.
+    the distinct values are shuffled. They are numbered within ranges of values,
+    then shifted by the size of the ranges before, so no task holds them all.
     """
     pairs = [
         F.struct(F.lit(c).alias("attribute"), F.coalesce(F.col(c), F.lit(UNKNOWN)).alias("value"))
         for c in columns
     ]
     values = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
-    by_value = Window.partitionBy("attribute").orderBy("value")
-    return values.withColumn("code", F.row_number().over(by_value) - 1)
+    by_range = values.repartitionByRange("attribute", "value")
+    placed = materialize(by_range.withColumn("range", F.spark_partition_id()))
+    earlier = Window.partitionBy("attribute").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("attribute", "range").agg(F.count(F.lit(1)).alias("size"))
+    shift = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    inside = Window.partitionBy("attribute", "range").orderBy("value")
+    return placed.join(
+        sizes.select("attribute", "range", shift.alias("shift")), ["attribute", "range"]
+    ).select(
+        "attribute", "value", (F.row_number().over(inside) - 1 + F.col("shift")).cast("int").alias("code")
+    )
 
 
 def encode(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:

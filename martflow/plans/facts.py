@@ -701,15 +701,16 @@ def stage_sales_invoice(
         (F.col("bsmankey") == SALES_TENANT) & (F.col("bsstbear") == NOT_CANCELLED)
     )
     h = _as(since(open_headers, "bsdatum", watermark), "h", SALES_INVOICE_HEADER)
-    grain, joined = header_lines(
-        h, _as(lines, "p", SALES_INVOICE_LINES), [("h.bsbelid", "p.bpbelid")]
-    )
-    channel = F.lower(F.trim(F.col("p2.k2pfrei1")))
-    joined = joined.join(
-        extras.alias("p2"),
-        (F.col("h.bsbelid") == F.col("p2.k2pbelid")) & (F.col("p2.k2pposnr") == F.col("p.bpposnr")),
-        "left",
-    )
+    quantity = F.col("p.bpstueck")
+    line_columns = [
+        *columns(SALES_INVOICE_LINES),
+        (quantity * F.col("p.bpvkpreis")).alias("line_net_amount"),
+        (quantity * F.col("p.bpvkbrutt")).alias("line_gross_amount"),
+        (quantity * F.col("p.bpekpreis")).alias("line_purchase_amount"),
+    ]
+    p = _as(lines, "p", SALES_INVOICE_LINES)
+    grain, line = header_lines(h, p, [("h.bsbelid", "p.bpbelid")], line_columns)
+
     net = per_rate(F.col("h.bsvkpreis").cast("decimal(38,6)"), "h.bsukurs")
     costs = F.col("h.bsekpreis2") + F.col("h.bsgema") + F.col("h.bskoop")
     shipping = (
@@ -722,15 +723,15 @@ def stage_sales_invoice(
         costs.alias("cost_amount"),
         shipping.alias("shipping_amount"),
     )
-    quantity = F.col("p.bpstueck")
-    line = joined.select(
-        *columns(SALES_INVOICE_LINES),
-        (quantity * F.col("p.bpvkpreis")).alias("line_net_amount"),
-        (quantity * F.col("p.bpvkbrutt")).alias("line_gross_amount"),
-        (quantity * F.col("p.bpekpreis")).alias("line_purchase_amount"),
-        channel.alias("business_channel"),
+    channels = extras.select(
+        F.col("k2pbelid").alias("__document"),
+        F.col("k2pposnr").alias("__position"),
+        F.lower(F.trim("k2pfrei1")).alias("business_channel"),
     )
-    return header, line
+    same_line = (F.col("nk_document_id") == F.col("__document")) & (
+        F.col("position_seq_no") == F.col("__position")
+    )
+    return header, line.join(channels, same_line, "left").drop("__document", "__position")
 
 
 def stage_sales_order(
@@ -741,8 +742,9 @@ def stage_sales_order(
         (F.col("bsmankey") == SALES_TENANT) & (F.col("bsstbear") == NOT_CANCELLED)
     )
     h = _as(since(open_headers, "bsdatum", watermark), "h", SALES_ORDER_HEADER)
-    grain, joined = header_lines(
-        h, _as(lines, "p", SALES_ORDER_LINES), [("h.bsbelid", "p.bpbelid")], "inner"
+    p = _as(lines, "p", SALES_ORDER_LINES)
+    grain, line = header_lines(
+        h, p, [("h.bsbelid", "p.bpbelid")], columns(SALES_ORDER_LINES), "inner"
     )
     net = per_rate(F.col("h.bsvkpreis").cast("decimal(38,6)"), "h.bsukurs")
     costs = F.col("h.bsekpreis2") + F.col("h.bsgema") + F.col("h.bskoop")
@@ -751,7 +753,7 @@ def stage_sales_order(
         net.alias("revenue"),
         costs.cast("decimal(38,7)").alias("cost_amount"),
     )
-    return header, joined.select(*columns(SALES_ORDER_LINES))
+    return header, line
 
 
 def stage_purchase_order(
@@ -760,14 +762,14 @@ def stage_purchase_order(
     """Purchase orders at header grain and at line grain."""
     h = _as(since(headers, "lbedatum", watermark), "h", PURCHASE_ORDER_HEADER)
     p = _as(lines, "p", PURCHASE_ORDER_LINES)
-    grain, joined = header_lines(h, p, [("h.lbbelid", "p.lpbelid")])
     amount = F.col("p.lpstueck") * F.col("p.lpekpreis")
-    line = joined.select(
+    line_columns = [
         *columns(PURCHASE_ORDER_LINES),
         amount.alias("line_purchase_amount"),
         home_amount("p.lpstueck", "p.lpekpreis", "p.lpukurs", "p.lpueinh").alias("line_purchase_eur"),
         days_between("h.lbdatum", "p.lptermin").alias("delivery_time_days"),
-    )
+    ]
+    grain, line = header_lines(h, p, [("h.lbbelid", "p.lpbelid")], line_columns)
     return grain.select(*columns(PURCHASE_ORDER_HEADER)), line
 
 
@@ -777,9 +779,9 @@ def stage_supplier_invoice(
     """Supplier invoices at header grain and at line grain."""
     h = _as(since(headers, "lrdatum", watermark), "h", SUPPLIER_INVOICE_HEADER)
     p = _as(lines, "p", SUPPLIER_INVOICE_LINES)
-    grain, joined = header_lines(h, p, [("h.lrbelid", "p.lrwbelid")])
     amount = default("p.lrwstueck", 0) * default("p.lrwlfpreis", 0)
-    line = joined.select(*columns(SUPPLIER_INVOICE_LINES), amount.alias("line_amount"))
+    line_columns = [*columns(SUPPLIER_INVOICE_LINES), amount.alias("line_amount")]
+    grain, line = header_lines(h, p, [("h.lrbelid", "p.lrwbelid")], line_columns)
     return grain.select(*columns(SUPPLIER_INVOICE_HEADER)), line
 
 

@@ -21,11 +21,10 @@ def q10_composite_left(spark, sf_dir):
     extra = lines.groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(
         F.max("l_shipdate").cast("date").alias("last_ship")
     )
-    return (
-        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(extra, (F.col("o_orderkey") == F.col("k")) & (F.col("l_linenumber") == F.col("n")), "left")
-        .select("o_orderkey", "l_linenumber", "l_partkey", "l_quantity", "last_ship")
-    )
+    columns = ["o_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+    _, joined = header_lines(orders, lines, [("o_orderkey", "l_orderkey")], columns)
+    same_line = (F.col("o_orderkey") == F.col("k")) & (F.col("l_linenumber") == F.col("n"))
+    return joined.join(extra, same_line, "left").select(*columns, "last_ship")
 
 
 @query("""
@@ -86,8 +85,9 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def q22_header_grain(spark, sf_dir):
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    headers, _ = header_lines(orders, lines, [("o_orderkey", "l_orderkey")], "inner")
-    return headers.select("o_orderkey", "o_custkey", "o_orderstatus")
+    shown = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    headers, _ = header_lines(orders, lines, [("o_orderkey", "l_orderkey")], shown, "inner")
+    return headers.select(*shown)
 
 
 @query("""
@@ -106,19 +106,16 @@ def q23_line_amounts(spark, sf_dir):
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     rate = F.when(flag == "A", 0).when(flag == "N", 2)
     unit = F.when(status == "F", 10)
-    _, lines = header_lines(
-        table(spark, sf_dir, "orders"),
-        table(spark, sf_dir, "lineitem"),
-        [("o_orderkey", "l_orderkey")],
-        "inner",
-    )
     quantity = F.col("l_quantity").cast("decimal(18,2)")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    return lines.select(
+    columns = [
         "l_orderkey",
         "l_linenumber",
         F.round(per_rate(price, rate), 4).alias("revenue"),
         (quantity * price).alias("line_net_amount"),
         F.round(home_amount(quantity, price, rate, unit), 4).alias("line_home_amount"),
         days_between("o_orderdate", "l_shipdate").alias("delivery_time_days"),
-    )
+    ]
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    _, amounts = header_lines(orders, lines, [("o_orderkey", "l_orderkey")], columns, "inner")
+    return amounts

@@ -101,6 +101,14 @@ def test_codes_are_fitted_once(spark):
     ]
 
 
+def test_codes_follow_the_order_across_ranges(spark):
+    words = F.format_string("%05d", F.col("id"))
+    df = spark.range(0, 20000, 1, 8).select(words.alias("c"), (F.col("id") % 3).cast("string").alias("d"))
+    codes = scoring.fit_categories(df, ["c", "d"])
+    got = {(a, v): code for a, v, code in (tuple(r) for r in codes.collect())}
+    assert got == {("c", f"{i:05d}"): i for i in range(20000)} | {("d", str(i)): i for i in range(3)}
+
+
 def test_scaling(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     scaler = scoring.read_scaler(scoring.fit_scaler(df, ["a", "b"]))

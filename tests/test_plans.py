@@ -44,12 +44,15 @@ def test_a_document_is_parsed_once(spark):
 def test_headers_are_not_fanned_out(spark):
     headers = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, h string")
     lines = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (9, 1)], "doc int, pos int")
-    grain, joined = header_lines(headers, lines, [("id", "doc")])
-    assert grain.count() == 3 and joined.count() == 4
-    grain, joined = header_lines(headers, lines, [("id", "doc")], "inner")
-    assert rows(grain, "id") == [(1,), (2,)] and joined.count() == 3
+    columns = ["id", "h", "pos"]
+    grain, joined = header_lines(headers, lines, [("id", "doc")], columns)
+    assert grain.count() == 3
+    assert rows(joined) == [(1, "a", 1), (1, "a", 2), (2, "b", 1), (3, "c", None)]
+    grain, joined = header_lines(headers, lines, [("id", "doc")], columns, "inner")
+    assert rows(grain, "id") == [(1,), (2,)]
+    assert rows(joined) == [(1, "a", 1), (1, "a", 2), (2, "b", 1)]
     with pytest.raises(ValueError):
-        header_lines(headers, lines, [("id", "doc")], "right")
+        header_lines(headers, lines, [("id", "doc")], columns, "right")
 
 
 def test_product_keys_hold_the_product(spark):
