@@ -18,7 +18,7 @@ LOADED = dt.datetime(2024, 1, 1)
 CONTROL = "table_name STRING, column_name STRING, date_control DATE, previous_days INT"
 
 # A position number that is unique within its document.
-_POSITION = "(l_partkey * 100000 + l_suppkey) * 10 + l_linenumber"
+_POSITION = "((l_partkey * 100000 + l_suppkey) * 10 + l_linenumber) * 100 + CAST(l_quantity AS BIGINT)"
 
 SALES_HEADERS = Derived("""
 SELECT o_orderkey AS bsbelid, o_orderkey + 5000 AS bsbelnr, o_custkey AS bskundennr, o_custkey % 37 AS bsbeakz,
