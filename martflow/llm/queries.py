@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import pii
+from martflow.llm import packing, pii
 from martflow.sources.tables import read_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,10 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *[c.alias(name) for name, c in pii.pii_digest(F.col("found")).items()]
     )
+
+
+@query("op5_packing")
+def packing_by_patterns(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(
+        read_parquet(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
