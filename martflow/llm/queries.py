@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import packing, pii
+from martflow.llm import language, packing, pii
+from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +37,13 @@ def packing_by_patterns(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
         read_parquet(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
     )
+
+
+@query("op6_language")
+def language_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_parquet(spark, folder, "documents")
+    held_out = remainder(documents["doc_id"], 3) == 1
+    trees = language.learn_languages(documents.where(~held_out))
+    return language.predict_language(
+        documents, trees, keep=[documents["doc_id"], held_out.alias("held_out")]
+    )
