@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import language, packing, pii
+from martflow.llm import language, packing, pii, quality
 from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
@@ -47,3 +47,15 @@ def language_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict_language(
         documents, trees, keep=[documents["doc_id"], held_out.alias("held_out")]
     )
+
+
+@query("op9_quality")
+def quality_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_parquet(spark, folder, "documents")
+    labels = read_parquet(spark, folder, "labels")
+    model = quality.learn_quality(
+        documents, labels.where(remainder(labels["doc_id"], 3) != 1)
+    )
+    held_out = (remainder(documents["doc_id"], 3) == 1).alias("held_out")
+    scored = quality.score_quality(documents, model, keep=[documents["doc_id"], held_out])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
