@@ -100,7 +100,7 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)).view(np.uint8) << 5)
 
 
-def _runs(member: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def runs(member: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of runs of members that don't cross a cut."""
     before = np.zeros(len(member) + 1, bool)
     before[1:] = member
@@ -116,7 +116,7 @@ def _runs(member: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and where the words of each row begin."""
-    starts, ends = _runs(~_IS_SPACE[data], offsets)
+    starts, ends = runs(~_IS_SPACE[data], offsets)
     return starts, ends, np.searchsorted(starts, offsets)
 
 

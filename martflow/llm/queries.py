@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import language, packing, pii, quality
+from martflow.llm import decontaminate, language, packing, pii, quality
 from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
@@ -59,3 +59,16 @@ def quality_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     held_out = (remainder(documents["doc_id"], 3) == 1).alias("held_out")
     scored = quality.score_quality(documents, model, keep=[documents["doc_id"], held_out])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op2_decontamination")
+def leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_parquet(spark, folder, "documents").select("doc_id", "text")
+    benchmark = read_parquet(spark, folder, "benchmark")
+    marked = decontaminate.mark_leaks(documents, benchmark)
+    return marked.select("doc_id", F.inline("leaks")).select(
+        "doc_id",
+        F.col("item").alias("item_id"),
+        F.col("matched").alias("n_matched"),
+        F.col("first").alias("first_token"),
+    )
