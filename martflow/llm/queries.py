@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import decontaminate, language, packing, pii, quality
+from martflow.llm import decontaminate, language, packing, pii, quality, suffixes
 from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
@@ -72,3 +72,8 @@ def leaked_items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("matched").alias("n_matched"),
         F.col("first").alias("first_token"),
     )
+
+
+@query("op1_suffixes")
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(read_parquet(spark, folder, "documents"))
