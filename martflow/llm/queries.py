@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import decontaminate, language, packing, pii, quality, suffixes
+from martflow.llm import decontaminate, language, packing, phrases, pii, quality, suffixes
 from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
@@ -77,3 +77,8 @@ def leaked_items(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_suffixes")
 def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(read_parquet(spark, folder, "documents"))
+
+
+@query("op8_phrases")
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.remove_phrases(read_parquet(spark, folder, "documents"))
