@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from martflow.llm import bytes as raw
-from martflow.sources.tables import materialize
+from martflow.llm.stored import stored
 
 POSITION_BITS = 24
 CHUNK_UNITS = 4 << 20
@@ -144,9 +144,9 @@ def candidates(rows: DataFrame, shape: Shape, across: bool, hot_runs: int) -> Ca
         several = several.where("low < high")
     else:
         several = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    kept = materialize(runs.join(several.select("anchor"), "anchor", "left_semi"))
+    kept = stored(runs.join(several.select("anchor"), "anchor", "left_semi"))
     example = F.struct("doc", "uid", "first", "last", "lead", "at", "size")
-    kinds = materialize(
+    kinds = stored(
         kept.groupBy("anchor", "run")
         .agg(F.min(example).alias("own"), F.count("*").alias("n"))
         .select("anchor", "run", "n", "own.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import decontaminate, language, packing, phrases, pii, quality, suffixes
+from martflow.llm import decontaminate, jaccard, language, packing, phrases, pii, quality, suffixes
 from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
@@ -82,3 +82,34 @@ def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_phrases")
 def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.remove_phrases(read_parquet(spark, folder, "documents"))
+
+
+@query("op3_jaccard")
+def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(read_parquet(spark, folder, "documents"))
+
+
+# 3-word shingles, all pairs with a common shingle, and components by recursion.
+ORACLES["op3_jaccard"] = r"""
+WITH RECURSIVE lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i+1] || ' ' || w[i+2] for i in range(1, len(w) - 1)])
+    END AS s FROM lists),
+classes AS (SELECT list_sort(s) AS s, len(s) AS n, min(doc_id) AS rep FROM sets GROUP BY ALL),
+items AS (SELECT rep, n, unnest(s) AS g FROM classes),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y FROM items a JOIN items b
+    ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM pairs UNION SELECT y, x FROM pairs),
+reach AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+roots AS (SELECT x, least(x, min(y)) AS root FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+  CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE coalesce(r.root, c.rep) END AS component_id
+FROM sets s LEFT JOIN classes c ON list_sort(s.s) = c.s LEFT JOIN roots r ON r.x = c.rep
+"""
