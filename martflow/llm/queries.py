@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import decontaminate, jaccard, language, packing, phrases, pii, quality, suffixes
+from martflow.llm import decontaminate, jaccard, language, lattice, packing, phrases, pii, quality, suffixes
 from martflow.llm.samples import remainder
 from martflow.sources.tables import read_parquet
 
@@ -89,6 +89,11 @@ def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(read_parquet(spark, folder, "documents"))
 
 
+@query("op4_lattice")
+def similar_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(read_parquet(spark, folder, "embeddings"))
+
+
 # 3-word shingles, all pairs with a common shingle, and components by recursion.
 ORACLES["op3_jaccard"] = r"""
 WITH RECURSIVE lists AS (
