@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import decontaminate, jaccard, language, lattice, packing, phrases, pii, quality, suffixes
+from martflow.llm import decontaminate, jaccard, language, lattice, lm, packing, phrases, pii, quality, suffixes
 from martflow.llm.samples import remainder
+from martflow.llm.shipping import ship_package
 from martflow.sources.tables import read_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,9 +17,15 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str):
+    """Register a query under a name; its workers can import this package."""
+
     def keep(function):
-        QUERIES[name] = function
-        return function
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
+        return run
 
     return keep
 
@@ -94,6 +101,12 @@ def similar_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(read_parquet(spark, folder, "embeddings"))
 
 
+@query("op10_lm")
+def language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_parquet(spark, folder, "documents")
+    return lm.score_texts(documents, remainder(documents["doc_id"], 5) == 1)
+
+
 # 3-word shingles, all pairs with a common shingle, and components by recursion.
 ORACLES["op3_jaccard"] = r"""
 WITH RECURSIVE lists AS (
