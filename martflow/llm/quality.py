@@ -176,12 +176,15 @@ def score_quality(
     df: DataFrame, model: QualityModel, text: str = "text", keep: list[Column] | None = None
 ) -> DataFrame:
     """Add ``score`` to the columns ``keep`` (default: all)."""
-    columns = keep if keep is not None else [df[c] for c in df.columns]
-    kept = df.select(*columns)
+    kept = df.select(*(keep if keep is not None else [df[c] for c in df.columns]))
     names = [f"_{i}" for i in range(len(kept.columns))]
+    if keep is None:
+        whole, source = kept.toDF(*names), names[df.columns.index(text)]
+    else:
+        whole, source = df.select(*keep, df[text].alias("_text")).toDF(*names, "_text"), "_text"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in raw.blocks(batches, "_text"):
+        for batch, data, offsets in raw.blocks(batches, source):
             arrays = [batch.column(n) for n in names]
             arrays.append(pa.array(model.scores(data, offsets)))
             yield pa.RecordBatch.from_arrays(arrays, [*names, "_score"])
@@ -189,7 +192,5 @@ def score_quality(
     fields = [
         f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept.schema.fields, strict=True)
     ]
-    whole = df.select(*columns, df[text].alias("_text")).toDF(*names, "_text")
-    return whole.mapInArrow(score, ", ".join([*fields, "_score double"])).toDF(
-        *kept.columns, "score"
-    )
+    scored = whole.mapInArrow(score, ", ".join([*fields, "_score double"]))
+    return scored.toDF(*kept.columns, "score")
