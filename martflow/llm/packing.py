@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from martflow.llm import bytes as raw
-from martflow.sources.tables import materialize
+from martflow.llm.stored import stored
 
 # Entries of a task's word cache; beyond it the cache starts anew.
 CACHE_UNITS = 1_000_000
@@ -35,6 +35,14 @@ _PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _QUOTE = ord("'")
 
 
+def _with(places: np.ndarray, cuts: np.ndarray, size: int) -> np.ndarray:
+    """The places, and those after a cut, in order and each once."""
+    member = np.zeros(size + 1, bool)
+    member[places] = True
+    member[1 : len(cuts) + 1] |= cuts
+    return np.flatnonzero(member)
+
+
 class UnitTokenizer:
     """Token ids of many texts, each distinct unit of text encoded once.
 
@@ -75,8 +83,9 @@ class UnitTokenizer:
             ids = np.array(self._encode([text])[0].ids, np.uint32)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(some):
-                for i, own in zip(some, np.split(ids, ends[:-1]), strict=True):
-                    out[i] = own
+                begins = [0, *ends.tolist()]
+                for i, begin, end in zip(some, begins, begins[1:], strict=False):
+                    out[i] = ids[begin:end]
         rest = [i for i, own in enumerate(out) if own is None]
         for i, found in zip(rest, self._encode([units[i] for i in rest]), strict=True):
             out[i] = np.array(found.ids, np.uint32)
@@ -107,9 +116,7 @@ class UnitTokenizer:
         starts, ends, _ = raw.words(data, offsets)
         alnum, punct, free = _ALNUM[data], _PUNCT[data], data != _QUOTE
         cuts = (alnum[:-1] & punct[1:]) | (punct[:-1] & free[:-1] & alnum[1:])
-        # a cut at a document's edge is a start already
-        cuts = np.flatnonzero(cuts) + 1
-        starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
+        starts, ends = _with(starts, cuts, len(data)), _with(ends, cuts, len(data))
         hashes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
         distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > CACHE_UNITS:
@@ -289,7 +296,7 @@ def assign_sequences(
     sized = pieces.withColumn("_size", F.ceil(F.col("length") / step).cast("int")).withColumn(
         "_slice", F.pmod(F.xxhash64(key, "start"), F.lit(slices)).cast("int")
     )
-    counts = materialize(sized.groupBy("_size", "_slice").agg(F.count("*").alias("_n")))
+    counts = stored(sized.groupBy("_size", "_slice").agg(F.count("*").alias("_n")))
     histogram = counts.groupBy("_size").agg(F.sum("_n").alias("n")).collect()
     sizes = np.array([r["_size"] for r in histogram], int)
     demand = np.array([r["n"] for r in histogram], int)
@@ -348,5 +355,5 @@ def pack_documents(
     with_ids: bool = False,
 ) -> DataFrame:
     """Pieces of all documents with their sequence and place in it."""
-    pieces = materialize(token_pieces(df, tokenizer, key, text, capacity, end_id, with_ids))
+    pieces = stored(token_pieces(df, tokenizer, key, text, capacity, end_id, with_ids))
     return assign_sequences(pieces, key, capacity)
