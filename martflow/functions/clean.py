@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -92,11 +91,22 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+    return _paired(conditions, lambda a, b: a | b, False)
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+    return _paired(conditions, lambda a, b: a & b, True)
+
+
+def _paired(
+    conditions: Sequence[Column], join: Callable[[Column, Column], Column], empty: bool
+) -> Column:
+    """Join conditions in pairs, so that the nesting grows with their logarithm."""
+    level = list(conditions) or [F.lit(empty)]
+    while len(level) > 1:
+        rest = level[len(level) & ~1 :]
+        level = [join(a, b) for a, b in zip(level[::2], level[1::2])] + rest
+    return level[0]
 
 
 # Fixed value: keeps ratios finite.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -59,9 +60,28 @@ def names(fields: tuple[Field, ...]) -> list[str]:
     return [f.name for f in fields]
 
 
-def with_optional(df: DataFrame, fields: tuple[Field, ...], prefix: str = "") -> DataFrame:
-    """Add the source columns of a layout that a source lacks, as NULL text."""
+def missing_columns(df: DataFrame, fields: tuple[Field, ...], prefix: str = "") -> list[str]:
+    """Source columns of a layout that a source lacks."""
     present = {c.lower() for c in df.columns}
     wanted = [f.source.removeprefix(prefix) for f in fields if f.source.startswith(prefix)]
-    missing = {s: F.lit(None).cast("string") for s in wanted if s.lower() not in present}
-    return df.withColumns(missing) if missing else df
+    return [s for s in dict.fromkeys(wanted) if s.lower() not in present]
+
+
+def with_sources(df: DataFrame, fields: tuple[Field, ...], prefix: str = "") -> DataFrame:
+    """The source, if it has all columns of a layout; an error names the others.
+
+    A column renamed upstream would otherwise turn into NULL or 0 unnoticed. Give
+    a source that really lacks some to :func:`with_absent` first.
+    """
+    missing = missing_columns(df, fields, prefix)
+    if missing:
+        raise ValueError(f"source columns missing: {', '.join(missing)}")
+    return df
+
+
+def with_absent(df: DataFrame, absent: Sequence[str]) -> DataFrame:
+    """Add columns that a source is known to lack, as NULL text."""
+    present = {c.lower() for c in df.columns}
+    return df.withColumns(
+        {c: F.lit(None).cast("string") for c in absent if c.lower() not in present}
+    )

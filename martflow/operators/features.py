@@ -52,8 +52,10 @@ def period_counts(
 
     The conditions of a row become one bit mask. The first grouping spreads a
     hot key over its items, and the second adds up bits; the rows are not
-    copied once per distinct count.
+    copied once per distinct count. The mask has room for 63 conditions.
     """
+    if len(conditions) > 63:
+        raise ValueError(f"{len(conditions)} conditions; a mask holds 63")
     mask = F.lit(0).cast("long")
     for bit, condition in enumerate(conditions.values()):
         mask = mask + F.when(condition, F.lit(1 << bit)).otherwise(F.lit(0))

@@ -39,14 +39,21 @@ def scd2_build(
         # One value per snapshot; the rows themselves stay on the executors.
         timeline = [r[0] for r in snapshots.select(at).distinct().collect()]
     times = sorted(timeline)
+    if len(set(times)) < len(times):
+        raise ValueError("a snapshot time is in the timeline twice")
     steps = spark.createDataFrame(
         list(zip(times, [None, *times], [*times[1:], None])),
         f"__at {snapshots.schema[at].dataType.simpleString()}, "
         f"__prior {snapshots.schema[at].dataType.simpleString()}, "
         f"__next {snapshots.schema[at].dataType.simpleString()}",
     )
+    unknown = F.raise_error(
+        F.concat(F.lit("snapshot time not in the timeline: "), F.col(at).cast("string"))
+    )
     # The timeline has one short row per snapshot, so its size is known here.
-    stacked = snapshots.join(F.broadcast(steps), F.col(at) == F.col("__at"))
+    stacked = snapshots.join(F.broadcast(steps), F.col(at) == F.col("__at"), "left").where(
+        F.when(F.col("__at").isNotNull(), F.lit(True)).otherwise(unknown.cast("boolean"))
+    )
 
     by_time = Window.partitionBy(*keys).orderBy(at)
     before = F.lag(F.struct(at, *tracked)).over(by_time)

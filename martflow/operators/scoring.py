@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..sources.tables import broadcast_if_small, materialize
+from ..sources.tables import materialize
 
 # Risk bands, upper bound included.
 BANDS = ((0.3, "Low"), (0.6, "Medium"), (1.0, "High"))
@@ -106,10 +106,10 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def encode(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace categories by their codes; values never fitted become -1.
 
-    ``codes`` should be stored. Categories are few and uneven, so shuffling the
-    rows by category would be lopsided; a code table is broadcast if it is small.
+    ``codes`` should be a stored table: then Spark knows its size, and broadcasts
+    it or splits the rows of frequent categories.
     """
-    out, codes = df, broadcast_if_small(codes)
+    out = df
     for c in columns:
         table = codes.where(F.col("attribute") == c).select(
             F.col("value").alias("__value"), F.col("code").cast("double").alias("__code")

@@ -10,10 +10,6 @@ from ..functions import as_col
 from ..functions.clean import all_of
 from .scd import END, START
 
-# Fixed value: open versions count as valid until this day, exclusive.
-OPEN_UNTIL = "2099-12-31"
-
-
 def asof_lookup(
     left: DataFrame,
     dim: DataFrame,
@@ -23,6 +19,7 @@ def asof_lookup(
     precision: str = "date",
     only: Column | None = None,
     spread: str | None = None,
+    open_until: str | None = None,
 ) -> DataFrame:
     """Left join to the dimension version valid at the event.
 
@@ -31,7 +28,9 @@ def asof_lookup(
     rows of ``left`` that look anything up; the others are kept without a match.
 
     ``precision="date"`` compares whole days, so a day belongs to the version
-    that is valid at its end. ``"timestamp"`` compares exact times.
+    that is valid at its end. ``"timestamp"`` compares exact times. Open versions
+    are valid for ever, or until ``open_until``, exclusive, for loads that end
+    them on a fixed day.
 
     The plan is an equi-join with the interval as a residual, with no forced
     broadcast: histories grow, so Spark decides from the actual size, and splits
@@ -47,7 +46,7 @@ def asof_lookup(
     versions = dim.select(
         *[as_col(d).alias(dn) for _, dn, _, d in pairs],
         F.col(START).cast(kind).alias("__start"),
-        F.coalesce(F.col(END).cast(kind), F.lit(OPEN_UNTIL).cast(kind)).alias("__end"),
+        F.coalesce(F.col(END).cast(kind), F.lit(open_until).cast(kind)).alias("__end"),
         *[F.col(c).alias(new) for c, new in renamed.items()],
     ).where(all_of([F.col(dn).isNotNull() for _, dn, _, _ in pairs]))
     events = left.withColumns(
@@ -58,7 +57,8 @@ def asof_lookup(
         }
     )
     match = [F.col(ln) == F.col(dn) for ln, dn, _, _ in pairs]
-    match += [F.col("__event") >= F.col("__start"), F.col("__event") < F.col("__end")]
+    still_open = F.col("__end").isNull() | (F.col("__event") < F.col("__end"))
+    match += [F.col("__event") >= F.col("__start"), still_open]
     if only is not None:
         match.append(F.col("__only"))
     if spread:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.clean import all_of, any_of
+from ..functions.clean import all_of
+from ..functions.keys import row_hash
 from ..sources.tables import (
     by_partition,
     dynamic_overwrite,
@@ -15,7 +17,7 @@ from ..sources.tables import (
     partition_columns,
     table_exists,
 )
-from .reduce import KEY, unique_or_fail, with_key
+from .reduce import KEY, keep_one, unique_or_fail, with_key
 
 HASH = "row_hash"
 
@@ -104,7 +106,7 @@ def upsert(
         merged.write.mode("overwrite").insertInto(table)
         return
     touched = _touched_partitions(target, source, keys, parts)
-    slice_ = target.where(any_of([_is_partition(p) for p in touched]))
+    slice_ = _partitions(target, touched, parts)
     merged = materialize(
         merge_frames(slice_, source, keys, update, hash_col=hash_col, newest=newest)
     )
@@ -118,8 +120,23 @@ def upsert(
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(spec)})")
 
 
-def _is_partition(values: Row) -> Column:
-    return all_of([F.col(c).eqNullSafe(F.lit(v)) for c, v in values.asDict().items()])
+def _partitions(target: DataFrame, touched: Sequence[Row], parts: Sequence[str]) -> DataFrame:
+    """The rows of some partitions, of any number.
+
+    Lists of literals prune the scan. With several partition columns they admit
+    combinations that are not wanted, which a semi join with the list removes.
+    """
+    for c in parts:
+        values = {p[c] for p in touched}
+        known = F.col(c).isin([v for v in values if v is not None])
+        target = target.where(known | F.col(c).isNull() if None in values else known)
+    if len(parts) == 1:
+        return target
+    kind = StructType([target.schema[c] for c in parts])
+    # One short row for each touched partition of the table.
+    wanted = target.sparkSession.createDataFrame([tuple(p) for p in touched], kind)
+    same = all_of([F.col(f"t.{c}").eqNullSafe(F.col(f"w.{c}")) for c in parts])
+    return target.alias("t").join(F.broadcast(wanted.alias("w")), same, "left_semi")
 
 
 def _touched_partitions(
@@ -138,28 +155,6 @@ def _touched_partitions(
     return new.distinct().collect()
 
 
-def native_upsert(
-    source: DataFrame,
-    table: str,
-    keys: Sequence[str],
-    update: Sequence[str],
-    hash_col: str = HASH,
-) -> None:
-    """The same upsert through MERGE, for table formats that support it."""
-    same_key = all_of([F.col(f"{table}.{k}").eqNullSafe(F.col(f"source.{k}")) for k in keys])
-    changed = ~F.col(f"{table}.{hash_col}").eqNullSafe(F.col(f"source.{hash_col}"))
-    assignments = {c: F.col(f"source.{c}") for c in [*update, hash_col]}
-    (
-        source.alias("source")
-        .mergeInto(table, same_key)
-        .whenMatched(changed)
-        .update(assignments)
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
-
-
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks, for appends that may be re-run."""
     same_key = all_of([F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
@@ -174,12 +169,16 @@ def append_once(
     since: Column | None = None,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    order_by: Sequence[Column | str] = (),
 ) -> None:
-    """Append observations the table does not hold yet.
+    """Append observations the table does not hold yet, each key once.
 
     ``since`` limits the part of the table to look in, normally the look-back
-    window the source was read with.
+    window the source was read with. Of several source rows of a key the first
+    by ``order_by`` stays, and of equal ones that with the smallest row hash.
     """
+    rest = [c for c in source.columns if c not in keys]
+    source = keep_one(source, keys, [*order_by, row_hash(rest) if rest else F.lit(0)])
     if not table_exists(spark, table):
         initial_load(source, table, cluster_by, partition_by)
         return
@@ -195,17 +194,25 @@ def replace_slice(target: DataFrame, source: DataFrame, slice_: Column) -> DataF
     return kept.unionByName(source.select(*target.columns))
 
 
-def replace_period(spark: SparkSession, table: str, source: DataFrame, period: Mapping[str, object]) -> None:
+def replace_period(
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    period: Mapping[str, object],
+    order_by: Sequence[Column | str] = (),
+) -> None:
     """Exchange one period of a stored table, which is partitioned by it.
 
     The slice is overwritten in one command: no moment without its rows, and
-    re-running a period gives the same table.
+    re-running a period gives the same table. ``order_by`` sorts each file.
     """
     data = source.drop(*period)
     if not table_exists(spark, table):
         full = data.withColumns({c: F.lit(v) for c, v in period.items()})
-        initial_load(full, table, partition_by=list(period))
+        initial_load(full, table, partition_by=list(period), order_by=order_by)
         return
+    if order_by:
+        data = data.sortWithinPartitions(*order_by)
     order = [c for c in spark.read.table(table).columns if c not in period]
     spec = ", ".join(f"{c} = '{v}'" for c, v in period.items())
     spark.sql(

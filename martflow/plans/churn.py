@@ -229,8 +229,7 @@ def load_risk_details(
     Rows are sorted by score within each file; readers order them globally.
     """
     period = dict(zip(PERIOD, (str(as_of.year), str(as_of.month))))
-    ordered = details.sortWithinPartitions(F.col("score").desc())
-    replace_period(spark, table, ordered, period)
+    replace_period(spark, table, details, period, order_by=[F.col("score").desc()])
 
 
 def top_risks(details: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from ..functions.clean import (
     trade_region,
 )
 from ..functions.keys import surrogate_key
-from ..functions.layout import Field, columns, layout, with_optional
+from ..functions.layout import Field, columns, layout, with_sources
 from ..operators.reduce import keep_one
 from ..operators.scd import current
 from ..operators.temporal import all_versions, asof_lookup
@@ -359,8 +359,8 @@ def _one_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _source(df: DataFrame, fields: tuple[Field, ...], alias: str) -> DataFrame:
-    """Alias a source and allow columns it does not have."""
-    return with_optional(df, fields, f"{alias}.").alias(alias)
+    """Alias a source that has the columns of a layout."""
+    return with_sources(df, fields, f"{alias}.").alias(alias)
 
 
 def latest_contact(contacts: DataFrame) -> DataFrame:
@@ -419,7 +419,7 @@ def stage_customer_external_info(links: DataFrame, categories: DataFrame) -> Dat
 
 
 def stage_payment_term(terms: DataFrame, compat: bool = False) -> DataFrame:
-    source = with_optional(terms, PAYMENT_TERM).where(F.col("kzmankey") == PAYMENT_TENANT)
+    source = with_sources(terms, PAYMENT_TERM).where(F.col("kzmankey") == PAYMENT_TENANT)
     key = surrogate_key(["kzzb", "kztext1", "kzskproz", "kzsktage"], compat)
     return source.select(key.alias("sk_payment_term_id"), *columns(PAYMENT_TERM))
 
@@ -484,7 +484,7 @@ def stage_salesperson(people: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def stage_shipping_method(methods: DataFrame, compat: bool = False) -> DataFrame:
-    source = with_optional(methods, SHIPPING_METHOD).where(F.col("kovmankey") == SHIPPING_TENANT)
+    source = with_sources(methods, SHIPPING_METHOD).where(F.col("kovmankey") == SHIPPING_TENANT)
     key = surrogate_key(["kovnummer", "kotext", "kovskenn", "koversand"], compat)
     return source.select(key.alias("sk_shipping_method_id"), *columns(SHIPPING_METHOD))
 
@@ -550,7 +550,7 @@ def stage_warehouse(stock: DataFrame, compat: bool = False) -> DataFrame:
     if compat:
         # The older key also holds prices and the stock level, which change daily.
         parts += ["mlekpreis", "mlekprep", "mlekrein", "mlbestand"]
-    source = with_optional(stock, WAREHOUSE).where(F.col("mlmankey") == WAREHOUSE_TENANT)
+    source = with_sources(stock, WAREHOUSE).where(F.col("mlmankey") == WAREHOUSE_TENANT)
     staged = source.select(surrogate_key(parts, compat).alias("sk_warehouse_id"), *columns(WAREHOUSE))
     return _one_each(staged, ["nk_warehouse_id", "warehouse_name"])
 

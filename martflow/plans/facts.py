@@ -10,15 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.clean import code_label, days_between, default, home_amount, per_rate
 from ..functions.keys import row_hash
-from ..functions.layout import Field, columns, layout, with_optional
+from ..functions.layout import Field, columns, layout, with_sources
 from ..operators.control import read_watermark, since
 from ..operators.documents import header_lines
 from ..operators.reduce import keep_one
 from ..operators.temporal import asof_lookup
 from ..operators.upsert import HASH, upsert
+from ..sources.tables import set_table_property, table_exists, table_property
 
 AUDIT = "dw_loaded_at"
 PERIOD = "event_period"
+GRAIN = "martflow.grain"
 
 # Size of a storage partition. Frequent runs over large facts rewrite less by day.
 GRAINS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
@@ -41,7 +43,9 @@ class Fact:
     """Grain, event date and lookups of a fact table.
 
     The same keys reduce the source and match the target. Columns in ``drop``
-    only serve the lookups.
+    only serve the lookups. The table is stored by the period of ``period``, or
+    of the event date: a date of the key lets an upsert read its periods only.
+    ``newest`` names a time that a stored row must not go back in.
     """
 
     table: str
@@ -50,6 +54,8 @@ class Fact:
     lookups: tuple[Lookup, ...]
     drop: tuple[str, ...] = ()
     watermark: tuple[str, str] | None = field(default=None)
+    period: str | None = None
+    newest: str | None = None
 
 
 def _product(precision: str) -> Lookup:
@@ -79,6 +85,7 @@ FACTS = {
             (_customer("date"), _salesperson("date")),
             ("nk_customer_id", "nk_salesperson_id"),
             ("fact_sales_invoice_header", "invoice_date"),
+            period="document_creation_date",
         ),
         Fact(
             "fact_sales_invoice_lines",
@@ -191,6 +198,7 @@ FACTS = {
             (_product("timestamp"),),
             ("nk_product_id",),
             ("fact_product_prices", "updated_at"),
+            newest="updated_at",
         ),
         Fact(
             "fact_serial_number_event",
@@ -211,6 +219,7 @@ FACTS = {
             ),
             ("nk_product_id",),
             ("fact_serial_number_event", "event_date"),
+            period="created_at",
         ),
     )
 }
@@ -687,9 +696,9 @@ serial_addition_2           seserz2     text
 
 
 def _as(df: DataFrame, alias: str, *layouts: tuple[Field, ...]) -> DataFrame:
-    """Alias a source; columns of the layouts it does not have become NULL."""
+    """Alias a source that has the columns of the layouts."""
     for fields in layouts:
-        df = with_optional(df, fields, f"{alias}.")
+        df = with_sources(df, fields, f"{alias}.")
     return df.alias(alias)
 
 
@@ -786,7 +795,7 @@ def stage_supplier_invoice(
 
 
 def stage_goods_receipt(receipts: DataFrame, watermark: dt.date | None = None) -> DataFrame:
-    source = with_optional(since(receipts, "lpdatum", watermark), GOODS_RECEIPT)
+    source = with_sources(since(receipts, "lpdatum", watermark), GOODS_RECEIPT)
     defective = F.when(default("lpdefekt", False), default("lpmgist", 0)).otherwise(F.lit(0))
     return source.select(*columns(GOODS_RECEIPT), defective.alias("quantity_defective"))
 
@@ -813,7 +822,7 @@ def stage_product_prices(
 
 
 def stage_serial_events(events: DataFrame, watermark: dt.date | None = None) -> DataFrame:
-    source = with_optional(since(events, "sedatum", watermark), SERIAL_EVENT)
+    source = with_sources(since(events, "sedatum", watermark), SERIAL_EVENT)
     return source.select(
         *columns(SERIAL_EVENT),
         F.when(F.col("seaus"), "OUT").otherwise("IN").alias("movement_direction"),
@@ -842,14 +851,16 @@ def build_fact(
 ) -> DataFrame:
     """Surrogate keys, change hash, one row per key, and the load time.
 
-    The hash covers every column outside the key except the load time, and the
-    survivor of equal keys is the one with the smallest hash.
+    The hash covers every column outside the key except the load time. Of rows
+    with equal keys the one of the latest event stays, and of equally late ones
+    that with the smallest hash.
     """
     keyed = look_up(fact, rows, dims)
     compared = [c for c in keyed.columns if c not in fact.keys]
     hashed = keyed.withColumn(HASH, row_hash(compared))
     moment = F.current_timestamp() if loaded_at is None else loaded_at
-    return keep_one(hashed, fact.keys, [HASH]).withColumn(AUDIT, moment)
+    latest = [F.col(fact.newest or fact.event).desc(), HASH]
+    return keep_one(hashed, fact.keys, latest).withColumn(AUDIT, moment)
 
 
 def load_fact(
@@ -859,17 +870,27 @@ def load_fact(
     rows: DataFrame,
     dims: Mapping[str, DataFrame],
     loaded_at: Column | None = None,
-    grain: str = "month",
+    grain: str | None = None,
 ) -> None:
-    """Upsert staged rows into the stored fact, partitioned by event period.
+    """Upsert staged rows into the stored fact, partitioned by period.
 
-    A stored fact keeps the grain it was first loaded with.
+    The grain of the first load ("month", if none is given) is a property of the
+    table. Later loads follow it; another one is an error.
     """
+    table = f"{schema}.{fact.table}"
+    exists = table_exists(spark, table)
+    stored = table_property(spark, table, GRAIN) if exists else None
+    if stored and grain and grain != stored:
+        raise ValueError(f"{table} is stored by {stored}, not by {grain}")
+    grain = stored or grain or "month"
     built = build_fact(fact, rows, dims, loaded_at)
-    built = built.withColumn(PERIOD, F.date_format(fact.event, GRAINS[grain]))
-    # The period follows from the event date, so it may join the key and prune.
-    keys = [*fact.keys, PERIOD] if fact.event in fact.keys else list(fact.keys)
-    upsert(spark, f"{schema}.{fact.table}", built, keys, partition_by=[PERIOD])
+    date = fact.period or fact.event
+    built = built.withColumn(PERIOD, F.date_format(date, GRAINS[grain]))
+    # The period follows from a date of the key, so it may join the key and prune.
+    keys = [*fact.keys, PERIOD] if date in fact.keys else list(fact.keys)
+    upsert(spark, table, built, keys, partition_by=[PERIOD], newest=fact.newest)
+    if stored is None:
+        set_table_property(spark, table, GRAIN, grain)
 
 
 def run_fact(
@@ -880,9 +901,10 @@ def run_fact(
     dims: Mapping[str, DataFrame],
     control: DataFrame,
     loaded_at: Column | None = None,
+    grain: str | None = None,
 ) -> None:
     """One incremental run: stage the rows since the watermark and upsert them."""
-    load_fact(spark, schema, fact, stage(watermark_of(fact, control)), dims, loaded_at)
+    load_fact(spark, schema, fact, stage(watermark_of(fact, control)), dims, loaded_at, grain)
 
 
 def run_document(
@@ -894,11 +916,12 @@ def run_document(
     dims: Mapping[str, DataFrame],
     control: DataFrame,
     loaded_at: Column | None = None,
+    grain: str | None = None,
 ) -> None:
     """One incremental run of a document: header fact, then line fact."""
     grains = stage(watermark_of(header, control))
     for fact, rows in zip((header, lines), grains):
-        load_fact(spark, schema, fact, rows, dims, loaded_at)
+        load_fact(spark, schema, fact, rows, dims, loaded_at, grain)
 
 
 def watermark_of(fact: Fact, control: DataFrame) -> dt.date | None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,9 @@ from ..sources.tables import (
     dynamic_overwrite,
     initial_load,
     materialize,
+    set_table_property,
     table_exists,
+    table_property,
 )
 
 
@@ -108,7 +111,8 @@ def apply_snapshot(
     """Apply one full snapshot to a stored history; False if it is not newer.
 
     The time of the last snapshot is a property of the table, so a replay after
-    a failure is recognised and changes nothing.
+    a failure is recognised and changes nothing. A snapshot older than the last
+    one can't be applied any more, which a warning reports.
     """
     if not table_exists(spark, table):
         first = first_history(unique_or_fail(snapshot, dimension.keys, "snapshot"), at)
@@ -116,6 +120,8 @@ def apply_snapshot(
         _mark_applied(spark, table, at)
         return True
     done = applied_snapshot(spark, table)
+    if done is not None and at < done:
+        warnings.warn(f"{table}: snapshot of {at} is older than {done} and not applied", stacklevel=2)
     if done is not None and at <= done:
         return False
     history = spark.read.table(table)
@@ -138,13 +144,13 @@ def apply_snapshot(
 
 
 def _mark_applied(spark: SparkSession, table: str, at: dt.datetime) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{APPLIED}' = '{at.isoformat()}')")
+    set_table_property(spark, table, APPLIED, at.isoformat())
 
 
 def applied_snapshot(spark: SparkSession, table: str) -> dt.datetime | None:
     """Time of the last snapshot applied to a stored history."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == APPLIED).collect()
-    return dt.datetime.fromisoformat(rows[0]["value"]) if rows else None
+    value = table_property(spark, table, APPLIED)
+    return None if value is None else dt.datetime.fromisoformat(value)
 
 
 def read_history(spark: SparkSession, table: str) -> DataFrame:

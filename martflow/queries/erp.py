@@ -26,7 +26,7 @@ SELECT c_custkey AS kdnummer, c_custkey % 20 AS kdbnummer, c_custkey * 2 AS kdad
   CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS kdlimit,
   CAST(NULL AS INT) AS kdrabatt
 FROM {customer}
-""")
+""").wide((dims.CUSTOMER, "kd."))
 
 ADDRESSES = Derived("""
 SELECT c_custkey * 2 AS adnummer, c_name AS adname1,
@@ -43,7 +43,7 @@ SELECT s_suppkey * 2 + 1, s_name, CASE WHEN s_suppkey % 4 = 0 THEN ' AG ' END,
   concat('Road ', s_nationkey), CAST(s_suppkey % 70 AS STRING), concat('Z', s_nationkey, ' '), 'City',
   concat('N', s_nationkey), ' ', concat('www.', s_suppkey)
 FROM {supplier}
-""")
+""").wide((dims.CUSTOMER, "ad."), (dims.SUPPLIER, "ad."), (dims.SUPPLIER_ADDRESS, "a."))
 
 COUNTRIES = Derived("""
 SELECT concat('N', n_nationkey) AS lkzlandkz, concat(n_name, ' ') AS lkzland,
@@ -63,7 +63,7 @@ SELECT o_custkey * 2 AS panummer, year(o_orderdate) - 1994 AS palfdnr,
   concat('mail', o_orderkey) AS paemail, concat(' +', o_orderkey) AS patelefon1,
   o_orderpriority AS paname1, CAST(NULL AS STRING) AS paname2
 FROM {orders}
-""")
+""").wide((dims.SUPPLIER_ADDRESS, "ap."))
 
 CATEGORY_LINKS_OF_CUSTOMERS = Derived("""
 SELECT c_custkey AS kknummer, c_mktsegment AS kkkat, c_custkey % 3 AS kklfdnr FROM {customer}
@@ -79,14 +79,14 @@ SHIPPING = Derived("""
 SELECT s_suppkey AS kovnummer, s_name AS kotext, CASE WHEN s_nationkey <> 5 THEN s_nationkey END AS kovskenn,
   CAST(s_acctbal AS DECIMAL(18,2)) AS koversand, CASE WHEN s_nationkey = 24 THEN 1 ELSE 0 END AS kovmankey
 FROM {supplier}
-""")
+""").wide((dims.SHIPPING_METHOD, ""))
 
 PAYMENT_TERMS = Derived("""
 SELECT s_suppkey AS kzzb, concat('Term ', s_nationkey) AS kztext1, s_nationkey % 4 AS kzskproz,
   CASE WHEN s_nationkey <> 6 THEN s_nationkey END AS kzsktage, CAST(s_acctbal AS DECIMAL(18,2)) AS kzmindbetr,
   CASE WHEN s_nationkey = 23 THEN 0 ELSE 1 END AS kzmankey
 FROM {supplier}
-""")
+""").wide((dims.PAYMENT_TERM, ""))
 
 PEOPLE = Derived("""
 SELECT s_suppkey AS kobnummer, concat(' ', s_name) AS kobname,
@@ -106,7 +106,7 @@ SELECT p_partkey AS aridnr, concat('P', p_partkey, ' ') AS aranummer, concat(' '
   CAST(CASE WHEN p_size > 3 THEN '2019-05-06 07:08:09' END AS TIMESTAMP) AS areingabe,
   CAST(CASE WHEN p_size > 1 THEN '2020-01-02 03:04:05' END AS TIMESTAMP) AS updtime
 FROM {part}
-""")
+""").wide((dims.PRODUCT, "a."))
 
 PRODUCT_CATEGORY_LINKS = Derived("""
 SELECT l_partkey AS kkidnr, l_linenumber AS kklfdnr, l_returnflag AS kkkat FROM {lineitem}
@@ -128,20 +128,20 @@ SELECT l_partkey AS mlidnr, l_linestatus AS mllager, max(CAST(l_extendedprice AS
   min(CAST(l_extendedprice AS DECIMAL(18,2))) AS mlekprep, CAST(max(l_tax) AS DECIMAL(18,2)) AS mlekrein,
   count(*) AS mlbestand, CASE WHEN l_linestatus = 'F' THEN 1 ELSE max(l_linenumber) % 2 END AS mlmankey
 FROM {lineitem} GROUP BY l_partkey, l_linestatus
-""")
+""").wide((dims.WAREHOUSE, ""))
 
 SUPPLIERS = Derived("""
 SELECT s_suppkey AS lfnummer, s_suppkey * 2 + 1 AS lfadnummer, s_nationkey % 2 AS lfmankey,
   CASE WHEN s_nationkey > 12 THEN 'CHF' END AS lfwae, concat(' ', s_nationkey) AS lfzb,
   CASE WHEN s_nationkey > 22 THEN 1 ELSE 0 END AS lfarchiv
 FROM {supplier}
-""")
+""").wide((dims.SUPPLIER, "lf."), (dims.SUPPLIER_ADDRESS, "l."))
 
 SUPPLIER_ADDRESS_LINKS = Derived("""
 SELECT s_suppkey AS lanummer, s_nationkey % 2 AS lamankey, s_suppkey * 2 + 1 AS laadnummer, 1 AS lalfdnr,
   'Z ' AS laakenn, 0 AS lanoaktiv FROM {supplier}
 UNION ALL SELECT s_suppkey, 1, s_suppkey * 2, 2, CASE WHEN s_nationkey > 12 THEN 'B' ELSE 'X' END, 1 FROM {supplier}
-""")
+""").wide((dims.SUPPLIER_ADDRESS, "la."))
 
 OFFERS = Derived("""
 SELECT concat(' ', event_id) AS id, concat('P', user_id) AS itemnr, user_id AS createdby, ts AS {q}from{q},

@@ -117,6 +117,21 @@ def q00_point_in_time_revenue(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH {history_sql("h")}
+SELECT o_orderkey, o_custkey, seg FROM orders
+LEFT JOIN h ON o_custkey = k AND o_orderdate + INTERVAL 120 YEAR >= start_at
+  AND (end_at IS NULL OR o_orderdate + INTERVAL 120 YEAR < end_at)
+""")
+def q56_lookup_in_the_far_future(spark, sf_dir):
+    """Open versions hold for dates of any distance."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", (F.col("o_orderdate") + F.expr("INTERVAL 120 YEAR")).alias("at")
+    )
+    found = asof_lookup(orders, history(spark, sf_dir), [("o_custkey", "k")], "at", ["seg"], "timestamp")
+    return found.select("o_orderkey", "o_custkey", "seg")
+
+
 @query(f"WITH {history_sql('h')} SELECT {VERSION} FROM h")
 def q14_scd2_history(spark, sf_dir):
     return named(history(spark, sf_dir))

@@ -123,7 +123,8 @@ def q28_append_snapshot(spark, sf_dir):
         day = F.col("ts").cast("date")
         rows = since(events, "ts", first).where(day < F.lit(last)).withColumn("load", F.lit(load))
         look_back = None if first is None else day >= F.lit(first)
-        append_once(spark, target, rows, ["event_id"], look_back)
+        # each load holds every observation twice
+        append_once(spark, target, rows.unionByName(rows), ["event_id"], look_back)
     return spark.read.table(target).drop("ts")
 
 
@@ -191,3 +192,20 @@ def q31_incremental_filter(spark, sf_dir):
     mark = read_watermark(_advanced(spark, sf_dir), "lineitem", "l_shipdate")
     recent = since(table(spark, sf_dir, "lineitem"), "l_shipdate", mark)
     return recent.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day"))
+
+
+@query("""
+SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, l_suppkey,
+  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) + max(CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS quantity
+FROM lineitem GROUP BY ALL
+""")
+def q55_upsert_by_day(spark, sf_dir):
+    """Two loads into a table with a partition for each of some thousand days."""
+    day = F.col("l_shipdate").cast("date").cast("string").alias("day")
+    quantity = F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")
+    shipped = table(spark, sf_dir, "lineitem").groupBy(day, "l_suppkey").agg(quantity)
+    raised = F.col("quantity") + F.when(F.col("l_suppkey") % 5 == 0, 1).otherwise(0)
+    target, keys = f"{new_database(spark)}.shipped", ["day", "l_suppkey"]
+    for load, rows in (("first", shipped), ("second", shipped.withColumn("quantity", raised))):
+        upsert(spark, target, _hashed(rows, load, keys), keys, partition_by=["day"])
+    return spark.read.table(target).select("day", "l_suppkey", "quantity")

@@ -50,15 +50,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Mark a frame for broadcast if it is counted to be small.
-
-    For short rows only. A larger frame stays an ordinary join side. Counting
-    stops after ``max_rows``, so checking a large frame is cheap too.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def new_database(spark: SparkSession, label: str = "mart") -> str:
     """A fresh database below the work folder."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
@@ -70,17 +61,29 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == name).collect()
+    return rows[0]["value"] if rows else None
+
+
+def set_table_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{value}')")
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Gather the rows of a table partition into few files.
+def by_partition(
+    df: DataFrame, columns: Sequence[str], order_by: Sequence[Column | str] = ()
+) -> DataFrame:
+    """Gather the rows of a table partition into few files, each sorted.
 
     Spark merges small partitions and splits large ones, so a partition with
     most of the rows is still written by many tasks.
     """
-    return df.hint("rebalance", *columns)
+    gathered = df.hint("rebalance", *columns)
+    return gathered.sortWithinPartitions(*columns, *order_by) if order_by else gathered
 
 
 def initial_load(
@@ -89,10 +92,14 @@ def initial_load(
     cluster_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    order_by: Sequence[Column | str] = (),
 ) -> None:
-    """Create or replace a table, with its schema, partitioned or clustered."""
+    """Create or replace a table, with its schema, partitioned or clustered.
+
+    ``order_by`` sorts the rows of each file of a partitioned table.
+    """
     if partition_by:
-        df = by_partition(df, partition_by)
+        df = by_partition(df, partition_by, order_by)
     writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from martflow.functions import clean, dates, keys
-from martflow.functions.layout import columns, layout, with_optional
+from martflow.functions.clean import all_of, any_of
+from martflow.functions.layout import columns, layout, with_absent, with_sources
 
 from .conftest import rows
 
@@ -94,13 +95,23 @@ def test_iso_weekday(spark):
     assert rows(df.select(dates.iso_weekday("d"), dates.date_key("d"))) == [(1, 20240101), (7, 20240107)]
 
 
-def test_layout_projects_by_rule_and_allows_missing_columns(spark):
+def test_layout_projects_by_rule_and_names_missing_columns(spark):
     fields = layout("""
     name    src     text
     open    flag    is_J
     late    other   zero
     """)
     df = spark.createDataFrame([(" a ", "J"), (None, None)], "src string, flag string")
-    got = with_optional(df, fields).select(*columns(fields))
+    with pytest.raises(ValueError, match="other"):
+        with_sources(df, fields)
+    got = with_sources(with_absent(df, ["other"]), fields).select(*columns(fields))
     assert got.columns == ["name", "open", "late"]
     assert [tuple(r) for r in got.collect()] == [("a", True, 0), ("", False, 0)]
+
+
+def test_many_conditions_nest_little(spark):
+    df = spark.range(3)
+    many = [F.col("id") == i for i in range(5, 5000)]
+    assert df.where(any_of([*many, F.col("id") == 1])).count() == 1
+    assert df.where(all_of([F.col("id") < i for i in range(2, 3000)])).count() == 2
+    assert df.where(any_of([])).count() == 0 and df.where(all_of([])).count() == 3

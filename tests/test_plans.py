@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martflow.functions.dates import Periods
+from martflow.functions.layout import missing_columns, with_absent
 from martflow.operators.calendar import date_dim
 from martflow.operators.crawl import parse_json
 from martflow.operators.documents import header_lines
@@ -55,6 +56,11 @@ def test_headers_are_not_fanned_out(spark):
         header_lines(headers, lines, [("id", "doc")], columns, "right")
 
 
+def complete(df, fields, prefix=""):
+    """The source, with the columns of a layout that it lacks as NULL."""
+    return with_absent(df, missing_columns(df, fields, prefix))
+
+
 def test_product_keys_hold_the_product(spark):
     products = spark.createDataFrame(
         [(1, "N"), (2, "N")], "aridnr int, aranummer string"
@@ -64,6 +70,7 @@ def test_product_keys_hold_the_product(spark):
         | {c: F.lit(None).cast("boolean") for c in ("arlagware", "arnuronline", "arkeinprov")}
         | {c: F.lit(None).cast("timestamp") for c in ("areingabe", "updtime")}
     )
+    products = complete(products, dimensions.PRODUCT, "a.")
     links = spark.createDataFrame([(1, 2, "B"), (1, 1, "C"), (1, 1, "A")], "kkidnr int, kklfdnr int, kkkat string")
     categories = spark.createDataFrame([("A", "Cat A", None, None)], "kakat string, katext string, kaotext string, kaobkat string")
     makers = spark.createDataFrame([], "kohkenn string, kohtext string")
@@ -79,7 +86,10 @@ def test_stock_does_not_change_the_warehouse_key(spark):
     names = "mlidnr int, mllager string, mlekpreis int, mlekprep int, mlekrein int, mlbestand int, mlmankey int"
     data = [[(1, "W", 1, 1, 1, stock, 1), (2, "W", 1, 1, 1, stock, 0)] for stock in (5, 6)]
     keys = lambda compat: [
-        dimensions.stage_warehouse(spark.createDataFrame(d, names), compat).first()["sk_warehouse_id"] for d in data
+        dimensions.stage_warehouse(
+            complete(spark.createDataFrame(d, names), dimensions.WAREHOUSE), compat
+        ).first()["sk_warehouse_id"]
+        for d in data
     ]
     safe, old = keys(False), keys(True)
     assert safe[0] == safe[1] and old[0] != old[1]
@@ -99,7 +109,7 @@ def dim(spark, key, sk, value=1):
 
 def test_fact_load_is_incremental_and_idempotent(spark, database):
     def serials(data):
-        return spark.createDataFrame(data, "seserid int, seidnr int, sehaunr string, sebelid int, seekredat date, sedatum date, sekltyp string, sekdnummer int, seaus boolean, sebeltyp string, sestorno string, setext string, sebea int")
+        return complete(spark.createDataFrame(data, "seserid int, seidnr int, sehaunr string, sebelid int, seekredat date, sedatum date, sekltyp string, sekdnummer int, seaus boolean, sebeltyp string, sestorno string, setext string, sebea int"), facts.SERIAL_EVENT)
 
     dims = {
         "dim_product": dim(spark, "nk_product_id", "sk_product_id"),
@@ -188,3 +198,22 @@ def test_two_input_scoring(spark, database):
     assert [r["score"] for r in churn.top_risks(stored).collect()] == sorted(
         (r["score"] for r in stored.collect()), reverse=True
     )
+
+
+def test_a_fact_keeps_its_grain(spark, database):
+    spec = facts.Fact("receipts", ("k", "day"), "day", ())
+    data = spark.createDataFrame([(1, dt.date(2024, 1, 5), 3)], "k int, day date, v int")
+    facts.load_fact(spark, database, spec, data, {}, grain="day")
+    facts.load_fact(spark, database, spec, data.withColumn("v", F.lit(4)), {})
+    assert rows(spark.read.table(f"{database}.receipts"), "v", "event_period") == [(4, "2024-01-05")]
+    with pytest.raises(ValueError, match="by day"):
+        facts.load_fact(spark, database, spec, data, {}, grain="month")
+
+
+def test_the_latest_row_of_a_key_stays(spark, database):
+    spec = facts.Fact("prices", ("k",), "at", (), newest="at")
+    kind = "k int, at timestamp_ntz, v int"
+    at = lambda d, v: (1, dt.datetime(2024, 1, d), v)
+    for some in ([at(2, 1), at(5, 2), at(3, 3)], [at(4, 4)]):
+        facts.load_fact(spark, database, spec, spark.createDataFrame(some, kind), {})
+    assert rows(spark.read.table(f"{database}.prices"), "v") == [(2,)]

@@ -146,3 +146,13 @@ def test_retry_after_half_a_run(spark, database):
     assert rows(read_history(spark, table)) == rows(
         fold(spark, [[(1, "a", 1), (2, "a", 1)], [(1, "b", 1), (2, "a", 1)]])
     )
+
+
+def test_unknown_and_repeated_snapshot_times_fail(spark):
+    stacked = spark.createDataFrame(
+        [("a", "x", T[0]), ("a", "y", T[1])], "k string, seg string, at timestamp_ntz"
+    )
+    with pytest.raises(Exception, match="not in the timeline"):
+        scd2_build(stacked, ["k"], ["seg"], "at", T[:1]).collect()
+    with pytest.raises(ValueError, match="twice"):
+        scd2_build(stacked, ["k"], ["seg"], "at", [T[0], T[0], T[1]])

@@ -43,12 +43,17 @@ def found(df):
 
 def test_date_precision_gives_a_day_to_its_last_version(events, dim):
     got = found(asof_lookup(events, dim, [("k", "k")], "at", ["sk"]))
-    assert got == {1: "v1", 2: "v3", 3: "v3", 4: None, 5: None, 6: None, 7: None}
+    assert got == {1: "v1", 2: "v3", 3: "v3", 4: None, 5: None, 6: None, 7: "v3"}
+
+
+def test_open_versions_can_end_on_a_day(events, dim):
+    got = found(asof_lookup(events, dim, [("k", "k")], "at", ["sk"], open_until="2099-12-31"))
+    assert got[3] == "v3" and got[7] is None
 
 
 def test_timestamp_precision_is_exact_and_half_open(events, dim):
     got = found(asof_lookup(events, dim, [("k", "k")], "at", ["sk"], "timestamp"))
-    assert got == {1: "v1", 2: "v1", 3: "v2", 4: None, 5: None, 6: None, 7: None}
+    assert got == {1: "v1", 2: "v1", 3: "v2", 4: None, 5: None, 6: None, 7: "v3"}
 
 
 @pytest.mark.parametrize("unit", ["hour", "day", "month", "year"])
@@ -60,7 +65,7 @@ def test_spread_finds_the_same(events, dim, unit):
 
 def test_only_limits_the_lookup_and_keeps_the_rows(events, dim):
     got = found(asof_lookup(events, dim, [("k", "k")], "at", ["sk"], only=F.col("id") > 2))
-    assert got == {1: None, 2: None, 3: "v3", 4: None, 5: None, 6: None, 7: None}
+    assert got == {1: None, 2: None, 3: "v3", 4: None, 5: None, 6: None, 7: "v3"}
 
 
 def test_take_renames_and_left_columns_survive(events, dim):

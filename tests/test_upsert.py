@@ -140,6 +140,38 @@ def test_append_once(spark, database):
     assert rows(spark.read.table(table)) == sorted([(1, "a"), (None, "b"), (2, "c")], key=str)
 
 
+def test_append_once_keeps_one_row_of_a_batch(spark, database):
+    table = f"{database}.t"
+    data = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c"), (None, 1, "c")], "k int, at int, v string")
+    for _ in range(2):
+        append_once(spark, table, data, ["k"], order_by=[F.col("at").desc()])
+    assert rows(spark.read.table(table)) == sorted([(1, 2, "b"), (None, 1, "c")], key=str)
+    append_once(spark, table, spark.createDataFrame([(2, 1, "x"), (2, 1, "y")], data.schema), ["k"])
+    assert spark.read.table(table).where("k = 2").count() == 1
+
+
+def test_upsert_of_very_many_partitions(spark, database):
+    table = f"{database}.t"
+    kind = "day string, k int, v int, row_hash string"
+    data = [(f"d{i:04}", i, 0, "a") for i in range(600)] + [(None, 1, 0, "a")]
+    upsert(spark, table, spark.createDataFrame(data, kind), ["day", "k"], partition_by=["day"])
+    again = [(d, k, 1, "b") for d, k, _, _ in data]
+    upsert(spark, table, spark.createDataFrame(again, kind), ["day", "k"], partition_by=["day"])
+    assert spark.read.table(table).groupBy("v").count().collect() == [(1, 601)]
+
+
+def test_upsert_by_several_partition_columns(spark, database):
+    table, kind = f"{database}.t", "y string, m string, k int, v int, row_hash string"
+    data = [("1", "a", 1, 0, "h"), ("1", "b", 2, 0, "h"), ("2", "a", 3, 0, "h"), (None, "b", 4, 0, "h")]
+    load = lambda some: upsert(
+        spark, table, spark.createDataFrame(some, kind), ["y", "m", "k"], partition_by=["y", "m"]
+    )
+    load(data)
+    load([("1", "a", 1, 5, "i"), ("2", "b", 9, 5, "i"), (None, "b", 4, 5, "i")])
+    want = [(1, 5), (2, 0), (3, 0), (4, 5), (9, 5)]
+    assert rows(spark.read.table(table), "k", "v") == want
+
+
 def test_replace_period(spark, database):
     table = f"{database}.t"
     month = lambda m, v: spark.createDataFrame([(v, "2024", m)], "v int, years string, months string")
