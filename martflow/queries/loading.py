@@ -195,17 +195,17 @@ def q31_incremental_filter(spark, sf_dir):
 
 
 @query("""
-SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, l_suppkey,
+SELECT CAST(CAST(date_trunc('week', l_shipdate) AS DATE) AS VARCHAR) AS week, l_suppkey,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) + max(CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS quantity
 FROM lineitem GROUP BY ALL
 """)
-def q55_upsert_by_day(spark, sf_dir):
-    """Two loads into a table with a partition for each of some thousand days."""
-    day = F.col("l_shipdate").cast("date").cast("string").alias("day")
+def q55_upsert_many_partitions(spark, sf_dir):
+    """Two loads into a table with a partition for each of some hundred weeks."""
+    week = F.date_trunc("week", "l_shipdate").cast("date").cast("string").alias("week")
     quantity = F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")
-    shipped = table(spark, sf_dir, "lineitem").groupBy(day, "l_suppkey").agg(quantity)
+    shipped = table(spark, sf_dir, "lineitem").groupBy(week, "l_suppkey").agg(quantity)
     raised = F.col("quantity") + F.when(F.col("l_suppkey") % 5 == 0, 1).otherwise(0)
-    target, keys = f"{new_database(spark)}.shipped", ["day", "l_suppkey"]
+    target, keys = f"{new_database(spark)}.shipped", ["week", "l_suppkey"]
     for load, rows in (("first", shipped), ("second", shipped.withColumn("quantity", raised))):
-        upsert(spark, target, _hashed(rows, load, keys), keys, partition_by=["day"])
-    return spark.read.table(target).select("day", "l_suppkey", "quantity")
+        upsert(spark, target, _hashed(rows, load, keys), keys, partition_by=["week"])
+    return spark.read.table(target).select("week", "l_suppkey", "quantity")

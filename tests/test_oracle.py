@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from martflow.queries import ORACLES, QUERIES
 
 from .oracle import ROOT, compare, connect
 
 FOLDER = str(ROOT / "sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,7 @@ def test_query(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
