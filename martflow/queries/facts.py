@@ -247,7 +247,7 @@ def _sales_order(spark, sf_dir):
 
 @query(f"""
 SELECT bsbelid AS nk_document_id, bsbelnr AS nk_document_no, c.sk_customer_id, s.sk_salesperson_id,
-  {_day("bsdatum", "transaction_date")}, bsonline AS document_online, bszb AS nk_payment_term, '' AS distributor_code,
+  {_day("bsdatum", "transaction_date")}, bsonline AS document_online, bszb AS nk_payment_term, trim(coalesce(bsprov, '')) AS distributor_code,
   CAST(bsstatkz AS VARCHAR) AS document_status, {_NET}, CAST(bsekpreis2 + bsgema + bskoop AS DOUBLE) AS cost_amount
 FROM ({SALES_HEADERS.sql}) h {_customer_sql("bskundennr", "bsdatum")} {_person_sql("bsbeakz", "bsdatum")}
 WHERE {_OPEN} AND bsbelid IN (SELECT l_orderkey FROM lineitem)
