@@ -1,6 +1,6 @@
 """Whole texts as byte arrays: blocks of documents, words, and rolling hashes.
 
-Tasks work on blocks of whole documents, a few megabytes each, so that their
+Tasks work on blocks of whole documents, about a megabyte each, so that their
 memory doesn't depend on the size of a partition. A single longer document is a
 block of its own.
 """
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 # Fixed value: the white space that ends a word.
 SPACES = b" \t\n\x0b\x0c\r"

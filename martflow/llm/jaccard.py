@@ -169,24 +169,6 @@ def key_table(rows: DataFrame, n: int, percent: int) -> DataFrame:
     return rows.select("text").mapInArrow(scan, "key long, class long")
 
 
-def gram_table(rows: DataFrame, n: int) -> DataFrame:
-    """``class``, ``n_grams`` and the n-grams themselves, as bytes."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in raw.blocks(batches, "text"):
-            sets = word_sets(data, offsets, n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([class_of(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                ["class", "n_grams", "grams"],
-            )
-
-    return rows.select("text").mapInArrow(scan, "class long, n_grams long, grams binary")
-
-
 def bitmap(grams: np.ndarray) -> np.ndarray:
     """A hashed bitmap of a set, as words of 64 bits."""
     bits = np.zeros(BITMAP_BITS, bool)
@@ -215,12 +197,20 @@ def links(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return same > 0 and 100 * same >= percent * (len(one) + len(other) - same)
 
 
-def _hub_links(table: pa.Table, percent: int) -> pa.RecordBatch:
+def _sets_of(table: pa.Table, n: int) -> list[np.ndarray]:
+    """The sets of a table's texts, made a small block at a time."""
+    out: list[np.ndarray] = []
+    for _, data, offsets in raw.blocks(iter(table.select(["text"]).to_batches()), "text"):
+        out += word_sets(data, offsets, n)
+    return out
+
+
+def _hub_links(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
     """Links of members with the hub of their group, whose row is marked."""
     group = table.column("anchor").to_numpy()
     lead = table.column("lead").to_numpy()
     classes = table.column("class").to_numpy()
-    grams = [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
+    grams = _sets_of(table, n)
     found = []
     hub = {g: (grams[i], bitmap(grams[i]), i) for i, g in enumerate(group.tolist()) if lead[i]}
     for i, g in enumerate(group.tolist()):
@@ -272,29 +262,36 @@ def tile_links(
     return found
 
 
-def _tiled(table: pa.Table, percent: int) -> pa.RecordBatch:
+def _tiled(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
     """Links within the tiles, or pairs of tiles, of a block."""
     group = table.column("anchor").to_numpy()
     bounds = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist() + [len(group)]
     classes, parts = table.column("class").to_numpy(), table.column("part").to_numpy()
     tiles = table.column("tile").to_numpy()
-    binary = table.column("grams")
+    grams = _sets_of(table, n)
     found: list[tuple[int, int]] = []
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        grams = [np.frombuffer(binary[i].as_py(), np.uint64) for i in range(low, high)]
         own = slice(low, high)
-        found += tile_links(classes[own], parts[own], tiles[own], grams, percent)
+        found += tile_links(classes[own], parts[own], tiles[own], grams[own], percent)
     a, b = np.array(found, np.int64).reshape(-1, 2).T
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _in_blocks(df: DataFrame, look) -> DataFrame:
+def _in_blocks(df: DataFrame, rows: DataFrame, look) -> DataFrame:
+    """Bring the texts of each anchor together and apply ``look`` to blocks.
+
+    Texts are smaller than their sets, which the tasks make again.
+    """
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in anchor_blocks(batches):
             yield look(table)
 
     return (
-        df.repartition("anchor")
+        rows.select("uid", "text")
+        .join(df, "uid")
+        .drop("uid")
+        .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(scan, "a long, b long")
     )
@@ -310,8 +307,9 @@ def shared_keys(rows: DataFrame, n: int, percent: int, rounds: int) -> DataFrame
     for number in range(rounds):
         keys = key_table(rows, n, percent).where(F.pmod("key", F.lit(rounds)) == number)
         several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        part = keys.join(several, "key", "left_semi").distinct()
-        part = stored(part)
+        # Joined as stored tables, so that Spark can split the rows of a hot key.
+        part = stored(keys.join(stored(several), "key", "left_semi"))
+        part = stored(part.distinct())
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -322,7 +320,7 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
     groups = shared.groupBy("key").agg(
         F.min("class").alias("hub"), F.max("class").alias("last"), F.count("*").alias("members")
     )
-    groups = groups.where("hub < last").select("key", "hub", "members")
+    groups = stored(groups.where("hub < last").select("key", "hub", "members"))
     joined = shared.join(groups, "key")
     pairs = stored(joined.where("class <> hub").select("hub", "class").distinct())
 
@@ -331,7 +329,6 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
         F.min("uid").alias("uid"), F.first("n_grams").alias("n_grams")
     )
     example = stored(example.join(wanted, "class"))
-    grams = stored(gram_table(rows.join(example.select("uid"), "uid", "left_semi"), n))
 
     weights = pairs.join(example.select("class", "n_grams"), "class").groupBy("hub")
     salts = weights.agg(F.ceil(F.sum("n_grams") / TILE_GRAMS).cast("int").alias("salts"))
@@ -348,10 +345,11 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
         F.pmod(F.xxhash64("class"), F.col("salts")).cast("int").alias("salt"),
         F.lit(False).alias("lead"),
     )
-    teams = hubs.unionByName(members).join(grams, "class")
+    teams = hubs.unionByName(members).join(example, "class")
     near = _in_blocks(
-        teams.select(F.xxhash64("hub", "salt").alias("anchor"), "lead", "class", "grams"),
-        lambda table: _hub_links(table, percent),
+        teams.select("uid", F.xxhash64("hub", "salt").alias("anchor"), "lead", "class"),
+        rows,
+        lambda table: _hub_links(table, n, percent),
     )
     near = stored(near.distinct())
 
@@ -391,8 +389,8 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
         F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("tile"),
         "class",
         "part",
-    ).join(grams.drop("n_grams"), "class")
-    rest = _in_blocks(tiled, lambda table: _tiled(table, percent))
+    ).join(example.drop("n_grams"), "class")
+    rest = _in_blocks(tiled, rows, lambda table: _tiled(table, n, percent))
     return near.unionByName(stored(rest.distinct()))
 
 
@@ -426,12 +424,18 @@ def jaccard_components(
 
 
 def one_of_each(
-    df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, **options
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    n: int = 5,
+    percent: int = 80,
+    rounds: int = 4,
 ) -> DataFrame:
     """The row of least key of each component; rows with null keys all stay.
 
-    Rows that repeat a key stay if that key does.
+    Rows that repeat a key stay if that key does. Sets of lower similarity have
+    more keys, hence the larger number of rounds.
     """
-    found = jaccard_components(df, key, text, n, percent, **options)
+    found = jaccard_components(df, key, text, n, percent, rounds)
     gone = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
     return df.join(gone, key, "left_anti").select(*df.columns)

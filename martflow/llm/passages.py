@@ -28,7 +28,7 @@ from martflow.llm.stored import stored
 
 POSITION_BITS = 24
 CHUNK_UNITS = 4 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -144,7 +144,9 @@ def candidates(rows: DataFrame, shape: Shape, across: bool, hot_runs: int) -> Ca
         several = several.where("low < high")
     else:
         several = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    kept = stored(runs.join(several.select("anchor"), "anchor", "left_semi"))
+    # Joined as stored tables, so that Spark can split the runs of a hot anchor.
+    several = stored(several.select("anchor"))
+    kept = stored(runs.join(several, "anchor", "left_semi"))
     example = F.struct("doc", "uid", "first", "last", "lead", "at", "size")
     kinds = stored(
         kept.groupBy("anchor", "run")
@@ -152,7 +154,7 @@ def candidates(rows: DataFrame, shape: Shape, across: bool, hot_runs: int) -> Ca
         .select("anchor", "run", "n", "own.*")
     )
     per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("variety")).where("variety > 1")
-    varied = kinds.join(per_anchor, "anchor")
+    varied = kinds.join(stored(per_anchor), "anchor")
     return Candidates(
         kept,
         kinds,
@@ -181,7 +183,7 @@ def with_text(runs: DataFrame, rows: DataFrame) -> DataFrame:
 def anchor_blocks(
     batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES
 ) -> Iterator[pa.Table]:
-    """Tables of whole anchors from batches sorted by anchor."""
+    """Tables of whole anchors, of about ``size`` bytes, from batches sorted by anchor."""
     held: list[pa.RecordBatch] = []
     weight = 0
     for batch in batches:
@@ -195,12 +197,24 @@ def anchor_blocks(
         anchors = table.column("anchor").to_numpy()
         cut = int(np.searchsorted(anchors, anchors[-1], "left"))
         if cut:
-            yield table.slice(0, cut)
+            yield from _pieces(table.slice(0, cut), anchors[:cut], size)
         rest = table.slice(cut).combine_chunks()
         held = rest.to_batches()
         weight = rest.nbytes if cut else 0
     if held:
-        yield pa.Table.from_batches(held)
+        table = pa.Table.from_batches(held)
+        yield from _pieces(table, table.column("anchor").to_numpy(), size)
+
+
+def _pieces(table: pa.Table, anchors: np.ndarray, size: int) -> Iterator[pa.Table]:
+    """Slices of whole anchors."""
+    step = max(1, int(len(anchors) * size / max(table.nbytes, 1)))
+    at = 0
+    while at < len(anchors):
+        last = min(at + step, len(anchors)) - 1
+        stop = int(np.searchsorted(anchors, anchors[last], "right"))
+        yield table.slice(at, stop - at)
+        at = stop
 
 
 def by_anchor(
