@@ -12,9 +12,9 @@ Parts without n-grams give no key; some spare parts make up for them, and a set
 with more empty parts than spare ones adds its prefix, the n-grams of least hash,
 one of which any two linked sets share.
 
-Verification. Every class is first compared with the least class of each of its
-groups, which settles groups of true copies with a number of pairs that is linear
-in their size. Groups that still span several components are compared in tiles,
+Verification. Every class is first compared with one hub, the least class of any
+of its groups, which settles most groups of true copies with a pair for each
+class. Groups that still span several components are compared in tiles,
 sorted by size and limited to the band of sizes that can link: hashed bitmaps
 bound each overlap from above by their bit counts, and pairs that pass are
 intersected exactly. Large groups are split into pairs of tiles for many tasks.
@@ -320,11 +320,12 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
     groups = shared.groupBy("key").agg(
         F.min("class").alias("hub"), F.max("class").alias("last"), F.count("*").alias("members")
     )
-    groups = stored(groups.where("hub < last").select("key", "hub", "members"))
+    groups = stored(groups.where("hub < last"))
     joined = shared.join(groups, "key")
-    pairs = stored(joined.where("class <> hub").select("hub", "class").distinct())
+    pairs = joined.where("class <> hub").groupBy("class").agg(F.min("hub").alias("hub"))
+    pairs = stored(pairs.select("hub", "class"))
 
-    wanted = pairs.select("class").union(pairs.select("hub")).distinct()
+    wanted = joined.select("class").distinct()
     example = sets.groupBy("class").agg(
         F.min("uid").alias("uid"), F.first("n_grams").alias("n_grams")
     )
@@ -358,11 +359,11 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
     placed = joined.join(example.select("class", "n_grams"), "class").join(
         parts.withColumnRenamed("node", "class"), "class", "left"
     )
-    placed = placed.select(
-        "key", "class", "members", "n_grams", F.coalesce("component", "class").alias("part")
-    )
+    part = F.coalesce("component", "class").alias("part")
+    placed = placed.select("key", "hub", "last", "class", "members", "n_grams", part)
+    settled = pairs.select(F.col("class").alias("last"), F.col("hub").alias("compared"))
     open_groups = (
-        placed.groupBy("key", "members")
+        placed.groupBy("key", "hub", "last", "members")
         .agg(
             F.min("part").alias("low"),
             F.max("part").alias("high"),
@@ -370,8 +371,10 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
             F.bit_xor(F.xxhash64("class")).alias("one"),
             F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("other"),
         )
-        # of two members, one is the hub and the pair is settled
-        .where("low < high and members > 2")
+        .where("low < high")
+        # a group of two is settled if they have been compared
+        .join(settled, "last", "left")
+        .where("members > 2 or compared is null or compared <> hub")
     )
     # Groups of the same members need to be compared once.
     open_groups = open_groups.groupBy("members", "one", "other").agg(
