@@ -12,7 +12,8 @@ it are missed only if they meet in no table; the tests measure how often.
 Equal vectors form a class, which is hashed and compared once. Cells with many
 classes are split into pairs of tiles for many tasks. A pair that meets in
 several cells is counted in the first of them only; tasks return counts of links
-and a spanning link for each class, never the pairs themselves.
+and the least class that each class reaches within a block, never the pairs
+themselves. So components follow from all links.
 
 Vectors that are null or zero, or hold null or non-finite components, link with
 nothing, as do rows without a key. Vectors of different length never link. Rows
@@ -173,8 +174,22 @@ def _first_meeting(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return out
 
 
+def _joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least member of each component, with some more links between members."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := root[root], root):
+            root = up
+
+
 def _compared(table: pa.Table, threshold: float) -> pa.RecordBatch:
-    """Link counts and spanning links of the classes of each cell in a block."""
+    """Link counts of the classes of each cell in a block, and what they reach there."""
     anchors = table.column("anchor").to_numpy()
     keys, tiles = table.column("cell").to_numpy(), table.column("tile").to_numpy()
     own, classes = table.column("own").to_numpy(), table.column("class").to_numpy()
@@ -194,7 +209,10 @@ def _compared(table: pa.Table, threshold: float) -> pa.RecordBatch:
             first = second
         within = first is second
         add = np.zeros(high - low, np.int64)
-        least = classes[low:high].copy()
+        # Members by rank of their class: the least rank stands for a component.
+        by_rank = np.argsort(classes[low:high], kind="stable")
+        rank = np.argsort(by_rank)
+        root = np.arange(high - low)
         linked = np.zeros(high - low, bool)
         for at in range(0, len(first), TILE_ROWS):
             some = first[at : at + TILE_ROWS]
@@ -210,15 +228,15 @@ def _compared(table: pa.Table, threshold: float) -> pa.RecordBatch:
                 if not len(i):
                     continue
                 linked[i] = linked[j] = True
-                np.minimum.at(least, i, classes[low + j])
-                np.minimum.at(least, j, classes[low + i])
+                root = _joined(root, rank[i], rank[j])
                 for cut in range(0, len(i), 200_000):
                     a, b = i[cut : cut + 200_000], j[cut : cut + 200_000]
                     counted = _first_meeting(code[a], code[b]) == keys[low + a]
                     np.add.at(add, a[counted], copies[low + b[counted]])
                     np.add.at(add, b[counted], copies[low + a[counted]])
         some = np.flatnonzero(linked)
-        out.append(np.stack([classes[low + some], add[some], least[some]]))
+        least = classes[low + by_rank[root[rank[some]]]]
+        out.append(np.stack([classes[low + some], add[some], least]))
     found = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
     return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["class", "add", "least"])
 

@@ -3,6 +3,7 @@
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martflow.llm import lattice
@@ -87,6 +88,69 @@ def test_counts_of_close_clusters_are_exact(spark, monkeypatch, tile):
     assert found(spark, rows) == plain(rows)
 
 
+def steps(rng, start, count, cos):
+    """A chain of vectors, each linked with its neighbours only."""
+    out, back = [start / np.linalg.norm(start)], np.zeros(len(start))
+    for _ in range(count):
+        side = rng.standard_normal(len(start))
+        side -= (side @ out[-1]) * out[-1]
+        side /= np.linalg.norm(side)
+        # away from the vector before
+        side = side - 4 * back
+        side -= (side @ out[-1]) * out[-1]
+        side /= np.linalg.norm(side)
+        back = out[-1]
+        out.append(cos * out[-1] + np.sqrt(1 - cos * cos) * side)
+    return out
+
+
+@pytest.mark.parametrize("tile", [1000, 7])
+def test_components_follow_chains_and_bridges(spark, monkeypatch, tile):
+    monkeypatch.setattr(lattice, "TILE_ROWS", tile)
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(20):
+        vectors += steps(rng, rng.standard_normal(32), 25, 0.985)
+    for _ in range(10):
+        # two dense groups whose centres alone are linked: copies lean apart
+        pair = steps(rng, rng.standard_normal(32), 1, 0.951)
+        for centre, other in (pair, pair[::-1]):
+            vectors.append(centre)
+            away = (centre @ other) * centre - other
+            away /= np.linalg.norm(away)
+            for _ in range(30):
+                side = near(rng, away, 0.7)
+                side -= (side @ centre) * centre
+                vectors.append(0.9995 * centre + np.sqrt(1 - 0.9995**2) * side / np.linalg.norm(side))
+    keys = rng.permutation(len(vectors)).tolist()
+    rows = [(k, np.float32(v).tolist()) for k, v in zip(keys, vectors, strict=True)]
+    got, want = found(spark, rows), plain(rows)
+    assert [(g[0], g[2]) for g in got] == [(w[0], w[2]) for w in want]
+
+
+@pytest.mark.parametrize("tile", [1000, 2])
+def test_a_chain_within_a_cell_is_one_component(monkeypatch, tile):
+    monkeypatch.setattr(lattice, "TILE_ROWS", tile)
+    turn = {1: 0, 4: 1, 3: 2, 2: 3}
+    angle = np.array([turn[c] for c in (1, 2, 3, 4)]) * 0.3
+    units = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+    size = lattice.TABLES * (lattice.PROBES + 1)
+    table = pa.table(
+        {
+            "anchor": [9] * 4,
+            "tile": [0] * 4,
+            "cell": [7] * 4,
+            "own": [True] * 4,
+            "class": [1, 2, 3, 4],
+            "copies": [1] * 4,
+            "unit": pa.array([u.tobytes() for u in units], pa.binary()),
+            "cells": [[7] * size] * 4,
+        }
+    )
+    out = lattice._compared(table, 0.95).to_pydict()
+    assert out == {"class": [1, 2, 3, 4], "add": [1, 1, 2, 2], "least": [1, 1, 1, 1]}
+
+
 def test_recall_near_the_threshold(spark):
     rows = clusters(3, 120, 2, 0.95)
     got, want = found(spark, rows), plain(rows)
