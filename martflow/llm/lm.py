@@ -13,10 +13,11 @@ Counts are exact and taken from every training text. Training sees every
 training text too: tasks train copies of the model on their texts by noise-
 contrastive estimation, and their weighted mean starts the next round.
 
-Words of a table of ``table_words`` entries are counted and scored without a
-shuffle. The table is chosen from a bounded sample; which words it holds changes
-the speed but no result. All other words are rare and are matched with their
-counts by a join. Words are told apart by 64-bit hashes.
+The words with outputs are chosen by the exact counts of all training texts.
+They and ``table_words`` others are scored without a shuffle. The others are
+chosen from a bounded sample and counted without a shuffle too; which words they
+are changes the speed but no result. All words beyond these are matched with
+their counts by a join. Words are told apart by 64-bit hashes.
 
 Null texts count as empty: a lone end. Rows that repeat a key are scored alike.
 Empty tables give empty results; without training texts every token is unknown.
@@ -347,17 +348,16 @@ def score_texts(
     held = frequent_words(training, key, text, sample_rows, table_words, sample_bytes)
     counts = stored(count_words(training, text, held))
     totals = counts.agg(F.sum("n"), F.count("*")).first()
-    wanted = spark.createDataFrame(
-        [(int(h),) for h in np.append(held, END_HASH).view(np.int64)], "word long"
-    )
+    named = counts.where(F.col("word") != int(END_HASH.view(np.int64)))
+    named = named.orderBy(F.desc("n"), "word").limit(model_words).collect()
+    named = np.array([r["word"] for r in named], np.int64).view(np.uint64)
+    hashes = np.unique(np.concatenate([held, named, [END_HASH]]))
+    wanted = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "word long")
     found = {r["word"]: r["n"] for r in counts.join(F.broadcast(wanted), "word").collect()}
-    hashes = np.sort(np.append(held, END_HASH))
     own = np.array([found.get(int(h), 0) for h in hashes.view(np.int64)], np.int64)
     outputs = np.full(len(hashes), -1)
-    end = int(np.searchsorted(hashes, END_HASH))
-    order = [i for i in np.lexsort((hashes, -own)) if i != end and own[i]][:model_words]
-    outputs[order] = np.arange(1, len(order) + 1)
-    outputs[end] = END
+    outputs[np.searchsorted(hashes, named)] = np.arange(1, len(named) + 1)
+    outputs[np.searchsorted(hashes, END_HASH)] = END
     table = Table(hashes, own, outputs, int(totals[0] or 0), int(totals[1]))
     model = train(training, text, table, rounds)
     shared = spark.sparkContext.broadcast((table, model, log_totals(model)))

@@ -71,6 +71,20 @@ def test_rare_words_do_not_depend_on_the_table(spark):
     assert some == pytest.approx(every, rel=1e-6)
 
 
+def test_outputs_do_not_depend_on_the_sample(spark):
+    # the commonest word stands only in a text that is too long for the sample
+    rows = [(i, f"alpha beta w{i} w{i // 2} gamma") for i in range(30)] + [(30, "omega " * 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    score = lambda **o: {
+        r["doc_id"]: r["score"]
+        for r in lm.score_texts(df, F.lit(False), model_words=3, **o).collect()
+    }
+    every = score()
+    assert score(sample_bytes=100) == pytest.approx(every, rel=1e-6)
+    assert score(sample_bytes=1) == pytest.approx(every, rel=1e-6)
+    assert score(table_words=1) == pytest.approx(every, rel=1e-6)
+
+
 def test_probabilities_add_up_to_one():
     rng = np.random.default_rng(0)
     size = 9
