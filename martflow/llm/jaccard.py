@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martflow.llm import bytes as raw
 from martflow.llm.components import connected
-from martflow.llm.passages import anchor_blocks, numbered
+from martflow.llm.passages import anchor_blocks, distinct_texts, numbered
 from martflow.llm.stored import stored
 
 BAND_RATIO = 1.5
@@ -280,7 +280,8 @@ def _tiled(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
 def _in_blocks(df: DataFrame, rows: DataFrame, look) -> DataFrame:
     """Bring the texts of each anchor together and apply ``look`` to blocks.
 
-    Texts are smaller than their sets, which the tasks make again.
+    Texts are smaller than their sets, which the tasks make again. Of equal rows,
+    which share a uid, one is brought.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +289,7 @@ def _in_blocks(df: DataFrame, rows: DataFrame, look) -> DataFrame:
             yield look(table)
 
     return (
-        rows.select("uid", "text")
+        distinct_texts(rows)
         .join(df, "uid")
         .drop("uid")
         .repartition("anchor")

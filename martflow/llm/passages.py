@@ -163,12 +163,17 @@ def candidates(rows: DataFrame, shape: Shape, across: bool, hot_runs: int) -> Ca
     )
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """``uid`` and ``text``, one row for all equal ones; every task reduces its own."""
+    return rows.groupBy("uid").agg(F.first("text").alias("text"))
+
+
 def with_text(runs: DataFrame, rows: DataFrame) -> DataFrame:
     """Add the bytes of each run, cut out of its row."""
     fields = [c for c in runs.columns if c != "uid"]
     listed = runs.groupBy("uid").agg(F.collect_list(F.struct(*fields)).alias("runs"))
     # Equal rows share a uid; one of them is enough.
-    texts = rows.select("uid", "text").join(listed, "uid")
+    texts = distinct_texts(rows).join(listed, "uid")
     binary = F.col("text").cast("binary")
     cut = F.transform(
         "runs",
@@ -271,12 +276,14 @@ def covered(first: np.ndarray, last: np.ndarray, window: int, total: int) -> np.
 def with_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     """Add the ranges of window starts of each row: lists ``firsts`` and ``lasts``.
 
-    A list is bounded by the length of its own text.
+    A list is bounded by the length of its own text: equal rows, which share a uid,
+    have the same ranges, and every task keeps each of them once.
     """
     listed = ranges.groupBy("uid").agg(
-        F.collect_list(F.struct("first", "last")).alias("ranges")
+        F.collect_set(F.struct("first", "last")).alias("ranges")
     )
-    joined = rows.join(listed, "uid", "left")
+    # Joined as a stored table, so that Spark can split many equal rows.
+    joined = rows.join(stored(listed), "uid", "left")
     return joined.select(
         "doc",
         "text",
