@@ -34,7 +34,8 @@ def first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.without_leaks(docs, read_parquet(spark, sf_dir, "benchmark"))
+    benchmark = read_parquet(spark, sf_dir, "benchmark")
+    return decontaminate.without_leaks(docs, benchmark, short_items=True)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

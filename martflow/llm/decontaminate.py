@@ -1,10 +1,12 @@
 """Benchmark decontamination with spaced-seed hashes.
 
 Tokens are runs of letters, digits and bytes beyond ASCII, A to Z in lower case.
+In scripts without spaces, such as Chinese, Japanese and Thai, each character is
+a token, and their punctuation parts tokens.
 A document leaks an item if some window of ``WINDOW`` successive item tokens
 (the whole item, if it is shorter) lies in it with at most a fifth of the tokens
-substituted. Items of fewer than ``SHORTEST`` tokens are too short to prove a
-leak and are never reported.
+substituted. Items of fewer than ``SHORTEST`` tokens are not reported, unless
+``short_items`` is set: then a document leaks them if it holds them word for word.
 
 A seed hashes the tokens that a mask selects and ignores those in its gaps. The
 two masks hit every window that may be reported, wherever its substitutions are
@@ -38,12 +40,72 @@ FILTER_BITS = 22
 PAIRS_AT_ONCE = 200_000
 
 _MEMBER = np.array([chr(c).isalnum() if c < 128 else True for c in range(256)])
+# Code points whose characters are tokens each: first ones and those after the last.
+_SPACELESS = (
+    (0x0E00, 0x0F00),  # Thai, Lao
+    (0x1000, 0x10A0),  # Burmese
+    (0x1780, 0x1800),  # Khmer
+    (0x3005, 0x3008),
+    (0x3021, 0x302A),
+    (0x3040, 0x30FB),  # kana
+    (0x30FC, 0x3100),
+    (0x31F0, 0x3200),
+    (0x3400, 0x4DC0),  # ideographs
+    (0x4E00, 0xA000),
+    (0xF900, 0xFB00),
+    (0xFF66, 0xFFA0),
+    (0x20000, 0x40000),
+)
+# Their punctuation, once letters and digits of full width are left out.
+_PARTING = (
+    (0x104A, 0x1050),
+    (0x17D4, 0x17D7),
+    (0x3000, 0x3005),
+    (0x3008, 0x3021),
+    (0x3030, 0x3031),
+    (0x30FB, 0x30FC),
+    (0xFE30, 0xFE50),
+    (0xFF01, 0xFF10),
+    (0xFF1A, 0xFF21),
+    (0xFF3B, 0xFF41),
+    (0xFF5B, 0xFF66),
+)
+
+
+def _within(codes: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    return np.searchsorted(np.array(ranges).ravel(), codes, "right") % 2 == 1
+
+
+def _characters(data: np.ndarray):
+    """Starts, lengths and code points of characters of three bytes and more."""
+    start = np.flatnonzero(data >= 0xE0)
+    longer = np.concatenate([data, np.zeros(3, np.uint8)])
+    lead, *rest = (longer[start + i].astype(np.int64) for i in range(4))
+    one, two, three = (r & 63 for r in rest)
+    wide = lead >= 0xF0
+    code = np.where(
+        wide,
+        (lead & 7) << 18 | one << 12 | two << 6 | three,
+        (lead & 15) << 12 | one << 6 | two,
+    )
+    return start, np.where(wide, 4, 3), code
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, and where those of each row begin."""
     data = raw.lower_ascii(data)
-    starts, ends = raw.runs(_MEMBER[data], offsets)
+    member = _MEMBER[data]
+    place, length, code = _characters(data)
+    parting, alone = _within(code, _PARTING), _within(code, _SPACELESS)
+    for step in range(4):
+        at = place[parting & (length > step)] + step
+        member[at[at < len(member)]] = False
+    starts, ends = raw.runs(member, offsets)
+    if alone.any() and len(starts):
+        cuts = np.unique(np.concatenate([place[alone], (place + length)[alone]]))
+        own = np.searchsorted(starts, cuts, "left") - 1
+        cuts = cuts[(own >= 0) & (cuts < ends[own])]
+        starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
     hashes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
     return hashes, np.searchsorted(starts, offsets)
 
@@ -62,10 +124,21 @@ def seeds(hashes: np.ndarray, begin: np.ndarray, number: int) -> tuple[np.ndarra
     return raw.mix(out[fits]), fits
 
 
+def sequences(hashes: np.ndarray, begin: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``size`` tokens within a row, and where they start."""
+    count = max(len(hashes) - size + 1, 0)
+    out = np.full(count, size, np.uint64)
+    for place in range(size):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + hashes[place : place + count]
+    row_end = np.repeat(begin[1:], np.diff(begin))[:count]
+    fits = np.flatnonzero(np.arange(count) + size <= row_end)
+    return raw.mix(out[fits]), fits
+
+
 class ItemBlock:
     """Tokens and sorted seeds of some items."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], short_items: bool = False):
         data, offsets = raw.utf8(pa.array(texts, pa.large_string()))
         self.hashes, self.begin = tokens(data, offsets)
         size = np.diff(self.begin)
@@ -85,6 +158,15 @@ class ItemBlock:
         self.places = np.concatenate(places)[order]
         self.masks = np.concatenate(masks)[order]
         self.owner = owner
+        # Hashes of short items by number of tokens, and the items.
+        self.short: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for tokens_ in range(1, SHORTEST) if short_items else ():
+            items = np.flatnonzero(size == tokens_)
+            if len(items):
+                code, place = sequences(self.hashes, self.begin, tokens_)
+                code = code[np.searchsorted(place, self.begin[items])]
+                by_code = np.argsort(code, kind="stable")
+                self.short.append((tokens_, code[by_code], items[by_code]))
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.seeds >> np.uint64(64 - FILTER_BITS)] = True
 
@@ -105,6 +187,8 @@ class ItemBlock:
                 hit = np.searchsorted(ends, pair, "right")
                 entry = low[hit] + pair - (ends[hit] - size[hit])
                 rows.append(self._verified(hashes, begin, row_of, place[hit], entry))
+        for size, codes, items in self.short:
+            rows.append(self._whole(hashes, begin, row_of, size, codes, items))
         row, item, same, first = np.concatenate(rows, axis=1)
         order = np.lexsort((first, -same, item, row))
         row, item, same, first = row[order], item[order], same[order], first[order]
@@ -112,6 +196,21 @@ class ItemBlock:
         new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
         return row[new], item[new], same[new], first[new]
 
+    def _whole(self, hashes, begin, row_of, size, codes, items):
+        """The first occurrence of each short item in each row."""
+        code, place = sequences(hashes, begin, size)
+        low = np.searchsorted(codes, code, "left")
+        known = np.flatnonzero(codes[np.minimum(low, len(codes) - 1)] == code)
+        low, place = low[known], place[known]
+        # by row and text of an item, the first place
+        _, first = np.unique(row_of[place] * len(codes) + low, return_index=True)
+        low, place = low[first], place[first]
+        count = np.searchsorted(codes, codes[low], "right") - low
+        hit = np.repeat(np.arange(len(low)), count)
+        step = np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count)
+        row = row_of[place[hit]]
+        return np.stack([row, items[low[hit] + step], np.full(len(hit), size), place[hit] - begin[row]])
+
     def _verified(self, hashes, begin, row_of, place, entry):
         """The best window around each hit, if it is good enough."""
         spot = self.places[entry]
@@ -153,6 +252,7 @@ def mark_leaks(
     item_key: str = "item_id",
     item_text: str = "text",
     block_bytes: int = 16 << 20,
+    short_items: bool = False,
 ) -> DataFrame:
     """Add an array of leaked items: key, matching tokens, first document token."""
     spark = df.sparkSession
@@ -177,7 +277,7 @@ def mark_leaks(
     for number in range(count):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == number).collect()
         held = spark.sparkContext.broadcast(
-            ([r["item"] for r in part], ItemBlock([r["own"] for r in part]))
+            ([r["item"] for r in part], ItemBlock([r["own"] for r in part], short_items))
         )
         column = f"_leaks{number}"
 

@@ -72,7 +72,7 @@ def quality_of_documents(spark: SparkSession, folder: str) -> DataFrame:
 def leaked_items(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_parquet(spark, folder, "documents").select("doc_id", "text")
     benchmark = read_parquet(spark, folder, "benchmark")
-    marked = decontaminate.mark_leaks(documents, benchmark)
+    marked = decontaminate.mark_leaks(documents, benchmark, short_items=True)
     return marked.select("doc_id", F.inline("leaks")).select(
         "doc_id",
         F.col("item").alias("item_id"),

@@ -127,3 +127,39 @@ def test_query_finds_whole_items(spark):
             needle = f" {' '.join(own)} "
             assert {(d, i["item_id"]) for d, t in joined if needle in t} <= got
     assert len({d for d, _ in got}) < len(docs) * 0.1
+
+
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "Who wrote Faust?"), (2, "who wrote faust"), (3, "wrote"), (4, "one two"), (5, "?")]
+    documents = [
+        (1, "So: who wrote Faust, and who wrote Faust again?"),
+        (2, "who wrote the Faust"),
+        (3, "one"),
+        (4, "two one"),
+        (5, "one-two"),
+        (6, None),
+    ]
+    want = {(1, 1): 3, (1, 2): 3, (1, 3): 1, (2, 3): 1, (5, 4): 2}
+    assert found(spark, documents, items, short_items=True) == want
+    assert found(spark, documents, items, short_items=True, block_bytes=10) == want
+    assert found(spark, documents, items) == {}
+
+
+def test_characters_of_scripts_without_spaces_are_tokens(spark):
+    chinese, thai = "中华人民共和国的首都是哪里？", "เมืองหลวงของไทย"
+    items = [(1, chinese), (2, thai), (3, "首都")]
+    documents = [
+        (1, f"请问，{chinese}答案很简单。"),
+        (2, f"ABC{thai}xyz"),
+        (3, "法国的首都在哪里"),
+        (4, "Ärger über Größe — l’été"),
+    ]
+    want = {(1, 1): 13, (1, 3): 2, (2, 2): 13, (3, 3): 2}
+    assert found(spark, documents, items, short_items=True) == want
+
+    def parts(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return len(dc.tokens(data, np.array([0, len(data)]))[0])
+
+    assert parts("") == 0 and parts("、。") == 0 and parts("a中b国𠀀") == 5
+    assert parts("カタ・カナ ２０２６年") == 6 and parts("Größe—été") == 1
