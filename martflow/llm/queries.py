@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martflow.llm import decontaminate, jaccard, language, lattice, lm, packing, phrases, pii, quality, suffixes
+from martflow.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    lattice,
+    lines,
+    lm,
+    packing,
+    phrases,
+    pii,
+    quality,
+    suffixes,
+)
 from martflow.llm.samples import remainder
 from martflow.llm.shipping import ship_package
 from martflow.sources.tables import read_parquet
@@ -107,6 +119,20 @@ def language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(documents, remainder(documents["doc_id"], 5) == 1)
 
 
+@query("op12_lines")
+def repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_parquet(spark, folder, "documents").select("doc_id", "text")
+    left = lines.apply_bitmaps(documents, lines.keep_bitmaps(documents))
+    text, kept = F.coalesce("row.text", F.lit("")), F.coalesce("kept", F.lit(""))
+    ends = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit("")))
+    return left.select(
+        "row.doc_id",
+        (ends + 1).cast("long").alias("n_lines"),
+        "n_dropped",
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 # 3-word shingles, all pairs with a common shingle, and components by recursion.
 ORACLES["op3_jaccard"] = r"""
 WITH RECURSIVE lists AS (
@@ -131,3 +157,19 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
   CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE coalesce(r.root, c.rep) END AS component_id
 FROM sets s LEFT JOIN classes c ON list_sort(s.s) = c.s LEFT JOIN roots r ON r.x = c.rep
 """
+
+ORACLES["op12_lines"] = r"""
+WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM lists),
+named AS (
+  SELECT doc_id, line, pos, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS name FROM lines),
+common AS (
+  SELECT name, max(doc_id) AS keeper FROM named WHERE length(name) >= 40
+  GROUP BY name HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT n.*, c.name IS NOT NULL AND n.doc_id <> keeper AS gone FROM named n LEFT JOIN common c USING (name))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
