@@ -18,6 +18,7 @@ from martflow.llm import (
     phrases,
     pii,
     quality,
+    spelling,
     suffixes,
 )
 from martflow.llm.samples import remainder
@@ -133,6 +134,21 @@ def repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op13_spelling")
+def spelling_of_words(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_parquet(spark, folder, "documents")
+    runs = documents.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.explode(spelling.words_of(F.col("text"), spelling.MIN_CHARS)).alias("run"),
+    )
+    # One letter of every 31st run of a document is lost.
+    mark = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    place = F.pmod(mark, F.char_length("run")).cast("int")
+    rest = F.concat(F.left("run", place), F.substr("run", place + 2))
+    word = F.when(F.pmod(mark, F.lit(31)) == 0, rest).otherwise(F.col("run")).alias("word")
+    return spelling.spelling_groups(spelling.word_counts(runs.select(word), spelling.MIN_CHARS, 2))
+
+
 # 3-word shingles, all pairs with a common shingle, and components by recursion.
 ORACLES["op3_jaccard"] = r"""
 WITH RECURSIVE lists AS (
