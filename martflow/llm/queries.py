@@ -20,9 +20,11 @@ from martflow.llm import (
     quality,
     spelling,
     suffixes,
+    tries,
 )
 from martflow.llm.samples import remainder
 from martflow.llm.shipping import ship_package
+from martflow.llm.stored import stored
 from martflow.sources.tables import read_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +151,23 @@ def spelling_of_words(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_groups(spelling.word_counts(runs.select(word), spelling.MIN_CHARS, 2))
 
 
+@query("op11_trie")
+def trie_of_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    turns = stored(tries.numbered_turns(read_parquet(spark, folder, "conversations")))
+    sizes = stored(turns.groupBy("conv").agg(F.count("*").alias("size")))
+    # The first turns of a conversation, 0 to 5, are those of its hundred's first one.
+    taken = F.pmod(F.crc32(F.col("conv").cast("string").cast("binary")), F.lit(6))
+    base = F.col("conv") - F.pmod("conv", F.lit(100))
+    firsts = sizes.select(F.col("conv").alias("base"), F.col("size").alias("there"))
+    convs = sizes.select("conv", base.alias("base"), taken.alias("taken")).join(firsts, "base", "left")
+    head = turns.where("at < 5").withColumnRenamed("conv", "base")
+    heads = convs.join(head, "base").where("at < taken").select("conv", "at", "name", "chars")
+    moved = F.least("taken", F.coalesce("there", F.lit(0))) - F.col("taken")
+    tails = turns.join(convs.select("conv", "taken", moved.alias("moved")), "conv").where("at >= taken")
+    tails = tails.select("conv", (F.col("at") + F.col("moved")).alias("at"), "name", "chars")
+    return tries.prefix_trie(heads.unionByName(tails), sizes.select("conv"))
+
+
 # 3-word shingles, all pairs with a common shingle, and components by recursion.
 ORACLES["op3_jaccard"] = r"""
 WITH RECURSIVE lists AS (
@@ -189,3 +208,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+# crc32 of short ASCII texts; all prefixes as lists of turns, and all pairs above and below.
+ORACLES["op11_trie"] = r"""
+WITH crc AS (
+  SELECT [list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+    n) FOR n IN range(256)] AS t),
+numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+      [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')],
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM numbered), crc),
+rebuilt AS (
+  SELECT c.conv_id, pos, role, text FROM convs c JOIN numbered n ON n.conv_id = base AND pos <= h
+  UNION ALL
+  SELECT c.conv_id, pos + 10, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND pos > h),
+seqs AS (
+  SELECT c.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY pos) FILTER (pos IS NOT NULL), []) AS s
+  FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id),
+prefixes AS (SELECT conv_id, len(s) AS size, unnest([s[1:d] FOR d IN range(len(s) + 1)]) AS p FROM seqs),
+nodes AS (
+  SELECT p, len(p) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * coalesce(length(p[len(p)].text), 0) AS own,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = len(p)), '')) AS ends
+  FROM prefixes GROUP BY p),
+families AS (
+  SELECT n.*, m.conv_id AS parent FROM nodes n LEFT JOIN nodes m ON n.depth > 0 AND m.p = n.p[1:n.depth - 1]),
+children AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (
+  SELECT unnest([f.p[1:d] FOR d IN range(f.depth + 1)]) AS p, own, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM families f LEFT JOIN children c ON f.p = c.p),
+totals AS (SELECT p, sum(own) AS saved, sum(leaf) AS leaves FROM below GROUP BY p)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n_convs,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM families f JOIN totals t ON f.p = t.p LEFT JOIN children c ON c.p = f.p
+"""
