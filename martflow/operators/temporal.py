@@ -10,6 +10,7 @@ from ..functions import as_col
 from ..functions.clean import all_of
 from .scd import END, START
 
+
 def asof_lookup(
     left: DataFrame,
     dim: DataFrame,
@@ -18,7 +19,6 @@ def asof_lookup(
     take: Mapping[str, str] | Sequence[str],
     precision: str = "date",
     only: Column | None = None,
-    spread: str | None = None,
     open_until: str | None = None,
 ) -> DataFrame:
     """Left join to the dimension version valid at the event.
@@ -34,9 +34,8 @@ def asof_lookup(
 
     The plan is an equi-join with the interval as a residual, with no forced
     broadcast: histories grow, so Spark decides from the actual size, and splits
-    a skewed key on the left side. ``spread`` ("month", "day", ...) also joins
-    on the time bucket. Use it where a key has very many versions: then events
-    meet only the versions of their own bucket instead of the whole history.
+    a skewed key on the left side. Each event meets all versions of its key; where
+    a key has very many, use :func:`~.asof.asof_merge`.
     """
     kinds = {"date": "date", "timestamp": "timestamp_ntz"}
     kind = kinds[precision]
@@ -61,22 +60,9 @@ def asof_lookup(
     match += [F.col("__event") >= F.col("__start"), still_open]
     if only is not None:
         match.append(F.col("__only"))
-    if spread:
-        versions = _in_buckets(versions, events, spread)
-        events = events.withColumn("__bucket", F.date_trunc(spread, "__event"))
-        match.append(F.col("__bucket") == F.col("__slot"))
     return events.join(versions, all_of(match), "left").select(*left.columns, *renamed.values())
 
 
-def _in_buckets(versions: DataFrame, events: DataFrame, unit: str) -> DataFrame:
-    """Repeat each version once per time bucket it shares with the events."""
-    first, last = events.agg(F.min("__event"), F.max("__event")).first()
-    start = F.greatest("__start", F.lit(first))
-    end = F.least("__end", F.lit(last))
-    slots = F.sequence(F.date_trunc(unit, start), F.date_trunc(unit, end), F.expr(f"INTERVAL 1 {unit}"))
-    return versions.where(start <= end).withColumn("__slot", F.explode(slots))
-
-
 def all_versions(left: DataFrame, history: DataFrame, keys: Sequence[str], current_only: bool = False):
     """Left join to every version of a key, or only to the open one."""
     versions = history.where(F.col(END).isNull()) if current_only else history

@@ -12,9 +12,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.clean import days_between, holds
+from ..operators.asof import asof_merge
 from ..operators.scd import END, START, current, scd2_apply, scd2_build
 from ..operators.temporal import all_versions, asof_lookup
-from .base import query, table
+from .base import Derived, query, table
 
 YEARS = (dt.datetime(1995, 1, 1), dt.datetime(1997, 1, 1), dt.datetime(1999, 7, 1))
 JANUARY = (
@@ -279,18 +280,37 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 LEFT JOIN h ON o_custkey = k AND {SEES_TIME.format(event="l_shipdate")}
 """)
 def q48_asof_by_month(spark, sf_dir):
-    """The lookup that also joins on the month, for keys with long histories."""
+    """The lookup as a sorted merge, for keys with long histories."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey", "l_shipdate"
     )
-    found = asof_lookup(
-        joined,
-        history(spark, sf_dir),
-        [("o_custkey", "k")],
-        "l_shipdate",
-        ["seg"],
-        precision="timestamp",
-        spread="month",
+    found = asof_merge(
+        joined, history(spark, sf_dir), [("o_custkey", "k")], "l_shipdate", ["seg"], "timestamp"
     )
     return found.drop("o_custkey", "l_shipdate")
+
+
+# A third of all visits is of user 0. Half of them open a session of ten minutes.
+_VISITS = """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS k, ts, event_id % 2 = 0 AS opens,
+  date_trunc('hour', ts) AS hour, CAST(floor(minute(ts) / 10) AS INTEGER) AS part FROM {events}"""
+_SESSIONS = """
+SELECT k, hour, part, max(event_id) AS sk FROM {visits} v WHERE opens GROUP BY k, hour, part"""
+VISITS = Derived(_VISITS)
+SESSIONS = Derived(_SESSIONS, visits=VISITS)
+
+
+@query(f"""
+SELECT event_id, v.k AS k, sk FROM ({VISITS.sql}) v LEFT JOIN ({SESSIONS.sql}) s
+  ON v.k = s.k AND ts >= s.hour + to_minutes(10 * s.part) AND ts < s.hour + to_minutes(10 * s.part + 10)
+WHERE NOT opens
+""")
+def q57_asof_hot_key(spark, sf_dir):
+    """A key with a third of all events and of all versions."""
+    start = F.timestamp_add("MINUTE", 10 * F.col("part"), "hour")
+    sessions = SESSIONS.frame(spark, sf_dir).select(
+        "k", "sk", start.alias(START), F.timestamp_add("MINUTE", F.lit(10), start).alias(END)
+    )
+    visits = VISITS.frame(spark, sf_dir).where("NOT opens").select("event_id", "k", "ts")
+    return asof_merge(visits, sessions, [("k", "k")], "ts", ["sk"], "timestamp").drop("ts")

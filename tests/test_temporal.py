@@ -56,13 +56,6 @@ def test_timestamp_precision_is_exact_and_half_open(events, dim):
     assert got == {1: "v1", 2: "v1", 3: "v2", 4: None, 5: None, 6: None, 7: "v3"}
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "month", "year"])
-def test_spread_finds_the_same(events, dim, unit):
-    near = events.where("id <> 7")
-    plain = asof_lookup(near, dim, [("k", "k")], "at", ["sk"], "timestamp")
-    assert rows(asof_lookup(near, dim, [("k", "k")], "at", ["sk"], "timestamp", spread=unit)) == rows(plain)
-
-
 def test_only_limits_the_lookup_and_keeps_the_rows(events, dim):
     got = found(asof_lookup(events, dim, [("k", "k")], "at", ["sk"], only=F.col("id") > 2))
     assert got == {1: None, 2: None, 3: "v3", 4: None, 5: None, 6: None, 7: "v3"}
@@ -74,10 +67,9 @@ def test_take_renames_and_left_columns_survive(events, dim):
 
 
 def test_no_pairwise_join(events, dim):
-    for spread in (None, "month"):
-        df = asof_lookup(events, dim, [("k", "k")], "at", ["sk"], "timestamp", spread=spread)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    df = asof_lookup(events, dim, [("k", "k")], "at", ["sk"], "timestamp")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_all_versions_or_the_open_one(spark, dim):
