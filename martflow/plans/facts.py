@@ -875,11 +875,17 @@ def load_fact(
     """Upsert staged rows into the stored fact, partitioned by period.
 
     The grain of the first load ("month", if none is given) is a property of the
-    table. Later loads follow it; another one is an error.
+    table. Later loads follow it; another one is an error. Where the first load was
+    lost before it wrote the property, the stored periods tell the grain. A key
+    without the date gets an index, so that no load reads the keys of all periods.
     """
     table = f"{schema}.{fact.table}"
     exists = table_exists(spark, table)
     stored = table_property(spark, table, GRAIN) if exists else None
+    written = stored or (_grain_of_periods(spark, table) if exists else None)
+    if stored is None and written is not None:
+        set_table_property(spark, table, GRAIN, written)
+        stored = written
     if stored and grain and grain != stored:
         raise ValueError(f"{table} is stored by {stored}, not by {grain}")
     grain = stored or grain or "month"
@@ -888,11 +894,21 @@ def load_fact(
     built = built.withColumn(PERIOD, F.date_format(date, GRAINS[grain]))
     # The period follows from a date of the key, so it may join the key and prune.
     keys = [*fact.keys, PERIOD] if date in fact.keys else list(fact.keys)
-    upsert(spark, table, built, keys, partition_by=[PERIOD], newest=fact.newest)
+    upsert(spark, table, built, keys, partition_by=[PERIOD], newest=fact.newest, key_index=True)
     if stored is None:
         set_table_property(spark, table, GRAIN, grain)
 
 
+def _grain_of_periods(spark: SparkSession, table: str) -> str | None:
+    """The grain whose format the stored periods have; None without periods."""
+    shown = spark.sql(f"SHOW PARTITIONS {table}").where(F.col("partition").rlike("=[0-9]"))
+    first = shown.first()
+    if first is None:
+        return None
+    lengths = {len(pattern): name for name, pattern in GRAINS.items()}
+    return lengths[len(first[0].rpartition("=")[2])]
+
+
 def run_fact(
     spark: SparkSession,
     schema: str,

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clean import holds
 from ..functions.keys import row_hash
 from ..functions.layout import Field, layout, names
+from ..operators.buckets import upsert_bucketed
 from ..operators.control import since
 from ..operators.crawl import explode_items, parse_json
 from ..operators.reduce import keep_one
 from ..operators.temporal import asof_lookup
-from ..operators.upsert import HASH, append_once, upsert
+from ..operators.upsert import HASH, append_once
 
 # Fields of one supplier offer in the crawl.
 OFFER_FIELDS = """
@@ -190,8 +191,8 @@ def marketplace_offers(
 def load_products(
     spark: SparkSession, table: str, crawl: DataFrame, watermark: dt.date | None = None
 ) -> None:
-    """Upsert the current state of the crawled products."""
-    upsert(spark, table, marketplace_products(crawl, watermark), ["puid"], cluster_by=["puid"])
+    """Upsert the current state of the crawled products, in buckets of their id."""
+    upsert_bucketed(spark, table, marketplace_products(crawl, watermark), ["puid"])
 
 
 def load_offers(
