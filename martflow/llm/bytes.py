@@ -7,6 +7,7 @@ block of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ BLOCK_BYTES = 1 << 20
 SPACES = b" \t\n\x0b\x0c\r"
 
 MASK = (1 << 64) - 1
+LONG_WORD = 512
 
 
 def _random_words(count: int, seed: int) -> np.ndarray:
@@ -63,6 +65,40 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * shift)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each range, mixed after every eight of them.
+
+    Unlike sums of weighted codes, which some regular texts share whatever the
+    weights, it has no structure that different words could follow.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64(_BASE))
+    long = size > LONG_WORD
+    for i in np.flatnonzero(long).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    rest = np.flatnonzero(~long & (size > 0))
+    at = starts[rest]
+    while len(rest):
+        left = ends[rest] - at
+        unused = np.maximum(8 - left, 0).astype(np.uint64) << np.uint64(3)
+        chunk = (eight[at] << unused) >> unused
+        out[rest] = mix(out[rest] ^ chunk) + np.uint64(_BASE)
+        more = left > 8
+        rest, at = rest[more], at[more] + 8
+    return out
+
+
+def gram_hashes(codes: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the ``n`` codes from each place on, mixed after every one of them."""
+    out = np.full(len(place), n, np.uint64)
+    for k in range(n):
+        out = mix(out ^ codes[place + k]) + np.uint64(_BASE)
+    return out
+
+
 def byte_hashes(data: np.ndarray) -> np.ndarray:
     return prefix_hashes(_BYTE_CODES[data])
 

@@ -106,7 +106,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         own = np.searchsorted(starts, cuts, "left") - 1
         cuts = cuts[(own >= 0) & (cuts < ends[own])]
         starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
-    hashes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
+    hashes = raw.word_hashes(data, starts, ends)
     return hashes, np.searchsorted(starts, offsets)
 
 

@@ -14,17 +14,20 @@ one of which any two linked sets share.
 
 Verification. Every class is first compared with one hub, the least class of any
 of its groups, which settles most groups of true copies with a pair for each
-class. Groups that still span several components are compared in tiles,
-sorted by size and limited to the band of sizes that can link: hashed bitmaps
-bound each overlap from above by their bit counts, and pairs that pass are
-intersected exactly. Large groups are split into pairs of tiles for many tasks.
+class. Groups that still span several components are compared in tiles of
+bitmaps only, sorted by size and limited to the band of sizes that can link: the
+bitmaps bound each overlap from above by their bit counts. Of the pairs that
+pass, as many as would connect a tile are intersected exactly; members that
+could link and are not connected then are brought together with their texts and
+compared in full. Large groups are split into pairs of tiles for many tasks.
 
 Words are runs of non-space bytes, A to Z in lower case. With fewer words than
 ``n`` the whole sequence is the only n-gram. Texts that are null, empty or blank
 have an empty set and link with nothing. Rows with a null key link with nothing
 and have a null component. Rows that repeat a key are compared each; the
 component of a row is the least key of the rows it reaches. Empty tables give
-empty results. N-grams are told apart by 64-bit hashes.
+empty results. N-grams and sets are told apart by 64-bit hashes. Other columns, of
+whatever name, are ignored, and texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martflow.llm import bytes as raw
 from martflow.llm.components import connected
-from martflow.llm.passages import anchor_blocks, distinct_texts, numbered
+from martflow.llm.passages import anchor_blocks, numbered
 from martflow.llm.stored import stored
 
 BAND_RATIO = 1.5
@@ -53,18 +56,15 @@ def word_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]
     """The sorted distinct n-gram hashes of each row."""
     data = raw.lower_ascii(data)
     starts, ends, begin = raw.words(data, offsets)
-    codes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
-    sums = raw.prefix_hashes(codes)
-    place = np.arange(max(len(codes) - n + 1, 0))
-    grams = raw.range_hashes(sums, place, place + n)
+    codes = raw.word_hashes(data, starts, ends)
+    grams = raw.gram_hashes(codes, np.arange(max(len(codes) - n + 1, 0)), n)
     out = []
     for first, last in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
         if last - first >= n:
             own = np.sort(grams[first : last - n + 1])
             out.append(own[np.append(True, own[1:] != own[:-1])])
         elif last > first:
-            bounds = np.array([first]), np.array([last])
-            out.append(raw.range_hashes(sums, *bounds) + np.uint64(last - first))
+            out.append(raw.gram_hashes(codes, np.array([first]), last - first))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -170,10 +170,19 @@ def key_table(rows: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def bitmap(grams: np.ndarray) -> np.ndarray:
-    """A hashed bitmap of a set, as words of 64 bits."""
-    bits = np.zeros(BITMAP_BITS, bool)
-    bits[(grams & np.uint64(BITMAP_BITS - 1)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.uint64)
+    """A hashed bitmap of a set, as words of 64 bits.
+
+    It has two bits at least for each n-gram, a power of two in all.
+    """
+    bits = max(BITMAP_BITS, 1 << int(2 * len(grams) - 1).bit_length()) if len(grams) else BITMAP_BITS
+    held = np.zeros(bits, bool)
+    held[(grams & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of the same set with fewer words."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
 
 
 def overlap_bounds(
@@ -217,8 +226,9 @@ def _hub_links(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
         if lead[i] or g not in hub:
             continue
         own, bits, h = hub[g]
-        sizes = np.array([len(grams[i])])
-        bound = overlap_bounds(len(own), bits, sizes, bitmap(grams[i])[None])[0]
+        sizes, other = np.array([len(grams[i])]), bitmap(grams[i])
+        words = min(len(bits), len(other))
+        bound = overlap_bounds(len(own), folded(bits, words), sizes, folded(other, words)[None])[0]
         enough = 100 * bound >= percent * (len(own) + len(grams[i]) - bound)
         if enough and links(own, grams[i], percent):
             found.append((classes[h], classes[i]))
@@ -226,76 +236,193 @@ def _hub_links(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def tile_links(
-    classes: np.ndarray,
-    parts: np.ndarray,
-    groups: np.ndarray,
-    grams: list[np.ndarray],
-    percent: int,
-) -> list[tuple[int, int]]:
-    """Links that join components within one tile, or between the tiles 0 and 1.
+class Tile:
+    """Members of a tile by size, with bitmaps that bound their overlaps.
 
-    ``parts`` are the components known so far; pairs within one are passed over.
-    With two tiles, only pairs of one member of each are compared.
+    With two tiles, only pairs of one member of each are compared; pairs within one of
+    the components known so far, ``parts``, are passed over.
     """
-    sizes = np.array([len(g) for g in grams], np.int64)
-    order = np.argsort(sizes, kind="stable")
-    sizes, parts = sizes[order], parts[order].copy()
-    tile, maps = groups[order], np.stack([bitmap(grams[i]) for i in order])
-    across = len(set(tile.tolist())) > 1
-    found = []
-    for i, size in enumerate(sizes.tolist()):
-        last = np.searchsorted(sizes, size * 100 // percent, "right")
+
+    def __init__(self, sizes, parts, tiles, maps: list[np.ndarray], percent: int):
+        self.order = np.argsort(sizes, kind="stable")
+        self.sizes, self.parts = sizes[self.order], parts[self.order].copy()
+        self.tiles, self.percent = tiles[self.order], percent
+        self.across = len(set(tiles.tolist())) > 1
+        self.maps = [maps[i] for i in self.order]
+        self.words = np.array([len(m) for m in self.maps])
+        self._folded: dict[int, np.ndarray] = {}
+
+    def _of_width(self, words: int) -> np.ndarray:
+        """The bitmaps of all members that are as wide, or that can be folded to it."""
+        if words not in self._folded:
+            table = np.zeros((len(self.maps), words), np.uint64)
+            for i in np.flatnonzero(self.words >= words).tolist():
+                table[i] = folded(self.maps[i], words)
+            self._folded[words] = table
+        return self._folded[words]
+
+    def partners(self, i: int, parts: np.ndarray) -> np.ndarray:
+        """Members after ``i``, of other parts, that may link with it, likeliest first."""
+        size = int(self.sizes[i])
+        last = np.searchsorted(self.sizes, size * 100 // self.percent, "right")
         rest = np.arange(i + 1, last)
         rest = rest[parts[rest] != parts[i]]
-        if across:
-            rest = rest[tile[rest] != tile[i]]
+        if self.across:
+            rest = rest[self.tiles[rest] != self.tiles[i]]
         if not len(rest):
-            continue
-        bound = overlap_bounds(size, maps[i], sizes[rest], maps[rest])
-        good = 100 * bound >= percent * (size + sizes[rest] - bound)
-        # most similar first: one link settles a whole component
-        for j in rest[good][np.argsort(-bound[good], kind="stable")].tolist():
-            if parts[j] != parts[i] and links(grams[order[i]], grams[order[j]], percent):
-                found.append((int(classes[order[i]]), int(classes[order[j]])))
+            return rest
+        maps = self._of_width(int(self.words[i]))
+        bound = overlap_bounds(size, maps[i], self.sizes[rest], maps[rest])
+        good = 100 * bound >= self.percent * (size + self.sizes[rest] - bound)
+        return rest[good][np.argsort(-bound[good], kind="stable")]
+
+
+def likely_links(tile: Tile) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which members may link with some other, and likely links that would join them all.
+
+    There are fewer likely links than members: a pair that the links so far would
+    connect is left out, as it needs no link of its own if they hold.
+    """
+    open_ = np.zeros(len(tile.order), bool)
+    joined, pairs = tile.parts.copy(), []
+    for i in range(len(tile.order)):
+        partners = tile.partners(i, tile.parts)
+        if len(partners):
+            open_[tile.order[i]] = True
+            open_[tile.order[partners]] = True
+        for j in partners.tolist():
+            if joined[j] != joined[i]:
+                pairs.append((int(tile.order[i]), int(tile.order[j])))
+                joined[joined == joined[j]] = joined[i]
+    return open_, pairs
+
+
+def tile_links(tile: Tile, grams: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join the parts of a tile: one settles a whole part."""
+    parts, pairs = tile.parts, []
+    for i in range(len(tile.order)):
+        one = tile.order[i]
+        for j in tile.partners(i, parts).tolist():
+            other = tile.order[j]
+            if parts[j] != parts[i] and links(grams[one], grams[other], tile.percent):
+                pairs.append((int(one), int(other)))
                 parts[parts == parts[j]] = parts[i]
-    return found
+    return pairs
 
 
-def _tiled(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
-    """Links within the tiles, or pairs of tiles, of a block."""
+def _groups(table: pa.Table) -> Iterator[slice]:
+    """The rows of each anchor of a sorted block."""
     group = table.column("anchor").to_numpy()
     bounds = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist() + [len(group)]
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        yield slice(low, high)
+
+
+LIKELY = "anchor long, tile int, class long, a long, b long"
+
+
+def _likely(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """Members of tiles that may still link, and the links to try first."""
+    anchor, tiles = table.column("anchor").to_numpy(), table.column("tile").to_numpy()
+    classes, parts = table.column("class").to_numpy(), table.column("part").to_numpy()
+    sizes = table.column("n_grams").to_numpy()
+    maps = [np.frombuffer(m, np.uint64) for m in table.column("bits").to_pylist()]
+    rows, pairs = [np.zeros(0, np.int64)], []
+    for own in _groups(table):
+        tile = Tile(sizes[own], parts[own], tiles[own], maps[own], percent)
+        open_, found = likely_links(tile)
+        rows.append(np.flatnonzero(open_) + own.start)
+        pairs += [(classes[own.start + i], classes[own.start + j]) for i, j in found]
+    row = np.concatenate(rows)
+    a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+    none, more = pa.nulls(len(row), pa.int64()), pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([pa.array(anchor[row]), more]),
+            pa.concat_arrays([pa.array(tiles[row]), more.cast(pa.int32())]),
+            pa.concat_arrays([pa.array(classes[row]), more]),
+            pa.concat_arrays([none, pa.array(a)]),
+            pa.concat_arrays([none, pa.array(b)]),
+        ],
+        ["anchor", "tile", "class", "a", "b"],
+    )
+
+
+def _tiled(table: pa.Table, n: int, percent: int) -> pa.RecordBatch:
+    """Links within the tiles, or pairs of tiles, of a block."""
     classes, parts = table.column("class").to_numpy(), table.column("part").to_numpy()
     tiles = table.column("tile").to_numpy()
     grams = _sets_of(table, n)
     found: list[tuple[int, int]] = []
-    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        own = slice(low, high)
-        found += tile_links(classes[own], parts[own], tiles[own], grams[own], percent)
+    for own in _groups(table):
+        sets = grams[own]
+        sizes = np.array([len(g) for g in sets], np.int64)
+        tile = Tile(sizes, parts[own], tiles[own], [bitmap(g) for g in sets], percent)
+        found += [(classes[own.start + i], classes[own.start + j]) for i, j in tile_links(tile, sets)]
     a, b = np.array(found, np.int64).reshape(-1, 2).T
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _in_blocks(df: DataFrame, rows: DataFrame, look) -> DataFrame:
-    """Bring the texts of each anchor together and apply ``look`` to blocks.
-
-    Texts are smaller than their sets, which the tasks make again. Of equal rows,
-    which share a uid, one is brought.
-    """
+def _in_blocks(df: DataFrame, look, schema: str = "a long, b long") -> DataFrame:
+    """Bring the rows of each anchor together and apply ``look`` to blocks of them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in anchor_blocks(batches):
             yield look(table)
 
-    return (
-        distinct_texts(rows)
-        .join(df, "uid")
-        .drop("uid")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(scan, "a long, b long")
+    return df.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(scan, schema)
+
+
+def class_texts(rows: DataFrame, example: DataFrame) -> DataFrame:
+    """``class``, ``n_grams`` and one text of each class, by the uid of an example.
+
+    Texts are smaller than their sets, which the tasks make again.
+    """
+    named = rows.select("uid", "text").join(example, "uid")
+    one = named.groupBy("class").agg(F.first("n_grams").alias("n_grams"), F.first("text").alias("text"))
+    return stored(one)
+
+
+def class_bitmaps(texts: DataFrame, n: int) -> DataFrame:
+    """``class``, ``n_grams`` and ``bits``, the bitmap of each class."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in raw.blocks(batches, "text"):
+            maps = [bitmap(g).tobytes() for g in word_sets(data, offsets, n)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class"), batch.column("n_grams"), pa.array(maps, pa.binary())],
+                ["class", "n_grams", "bits"],
+            )
+
+    return stored(texts.mapInArrow(scan, "class long, n_grams long, bits binary"))
+
+
+def compared_links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of the pairs ``hub``, ``class`` that link, as ``a``, ``b``.
+
+    The members of a hub are dealt to as many blocks as their size asks for, and each
+    gets the text of the hub.
+    """
+    sizes = texts.select("class", "n_grams")
+    weights = pairs.join(sizes, "class").groupBy("hub")
+    salts = weights.agg(F.ceil(F.sum("n_grams") / TILE_GRAMS).cast("int").alias("salts"))
+    hubs = salts.select(
+        F.col("hub").alias("class"),
+        "hub",
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        F.lit(True).alias("lead"),
+    )
+    members = pairs.join(salts, "hub").select(
+        "class",
+        "hub",
+        F.pmod(F.xxhash64("class"), F.col("salts")).cast("int").alias("salt"),
+        F.lit(False).alias("lead"),
+    )
+    teams = hubs.unionByName(members).select(
+        "class", F.xxhash64("hub", "salt").alias("anchor"), "lead"
     )
+    brought = teams.join(texts.select("class", "text"), "class")
+    return stored(_in_blocks(brought, lambda table: _hub_links(table, n, percent)).distinct())
 
 
 def shared_keys(rows: DataFrame, n: int, percent: int, rounds: int) -> DataFrame:
@@ -330,34 +457,12 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
     example = sets.groupBy("class").agg(
         F.min("uid").alias("uid"), F.first("n_grams").alias("n_grams")
     )
-    example = stored(example.join(wanted, "class"))
-
-    weights = pairs.join(example.select("class", "n_grams"), "class").groupBy("hub")
-    salts = weights.agg(F.ceil(F.sum("n_grams") / TILE_GRAMS).cast("int").alias("salts"))
-    salted = pairs.join(salts, "hub")
-    hubs = salts.select(
-        F.col("hub").alias("class"),
-        "hub",
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        F.lit(True).alias("lead"),
-    )
-    members = salted.select(
-        "class",
-        "hub",
-        F.pmod(F.xxhash64("class"), F.col("salts")).cast("int").alias("salt"),
-        F.lit(False).alias("lead"),
-    )
-    teams = hubs.unionByName(members).join(example, "class")
-    near = _in_blocks(
-        teams.select("uid", F.xxhash64("hub", "salt").alias("anchor"), "lead", "class"),
-        rows,
-        lambda table: _hub_links(table, n, percent),
-    )
-    near = stored(near.distinct())
+    texts = class_texts(rows, example.join(wanted, "class"))
+    near = compared_links(pairs, texts, n, percent)
 
     # What is left: groups that still span several components.
     parts = connected(near)
-    placed = joined.join(example.select("class", "n_grams"), "class").join(
+    placed = joined.join(texts.select("class", "n_grams"), "class").join(
         parts.withColumnRenamed("node", "class"), "class", "left"
     )
     part = F.coalesce("component", "class").alias("part")
@@ -393,9 +498,20 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
         F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("tile"),
         "class",
         "part",
-    ).join(example.drop("n_grams"), "class")
-    rest = _in_blocks(tiled, rows, lambda table: _tiled(table, n, percent))
-    return near.unionByName(stored(rest.distinct()))
+    ).join(class_bitmaps(texts, n), "class")
+    likely = stored(_in_blocks(tiled, lambda table: _likely(table, percent), LIKELY))
+
+    # Texts go to the likely links first, and then to what these have not joined.
+    first = likely.where("a IS NOT NULL").select(F.col("a").alias("hub"), F.col("b").alias("class"))
+    near = near.unionByName(compared_links(stored(first.distinct()), texts, n, percent))
+    rest = likely.where("class IS NOT NULL").select("anchor", "tile", "class")
+    rest = rest.join(connected(near).withColumnRenamed("node", "class"), "class", "left")
+    rest = stored(rest.select("anchor", "tile", "class", F.coalesce("component", "class").alias("part")))
+    apart = rest.groupBy("anchor").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    rest = rest.join(apart.where("low < high").select("anchor"), "anchor", "left_semi")
+    brought = rest.join(texts.select("class", "text"), "class")
+    last = _in_blocks(brought, lambda table: _tiled(table, n, percent))
+    return near.unionByName(stored(last.distinct()))
 
 
 def jaccard_components(

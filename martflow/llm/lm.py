@@ -49,7 +49,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Hashes of all tokens, an end after each row, and where rows begin."""
     data = raw.lower_ascii(data)
     starts, ends, begin = raw.words(data, offsets)
-    hashes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
+    hashes = raw.word_hashes(data, starts, ends)
     rows = len(offsets) - 1
     begin = begin + np.arange(rows + 1)
     out = np.full(len(hashes) + rows, END_HASH, np.uint64)

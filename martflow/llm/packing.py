@@ -117,7 +117,7 @@ class UnitTokenizer:
         alnum, punct, free = _ALNUM[data], _PUNCT[data], data != _QUOTE
         cuts = (alnum[:-1] & punct[1:]) | (punct[:-1] & free[:-1] & alnum[1:])
         starts, ends = _with(starts, cuts, len(data)), _with(ends, cuts, len(data))
-        hashes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
+        hashes = raw.word_hashes(data, starts, ends)
         distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > CACHE_UNITS:
             self.clear()

@@ -58,7 +58,7 @@ def subwords(
 def distinct_words(data: np.ndarray, offsets: np.ndarray):
     """First places of the distinct words, and word number and row of each word."""
     starts, ends, begin = raw.words(data, offsets)
-    hashes = raw.range_hashes(raw.byte_hashes(data), starts, ends)
+    hashes = raw.word_hashes(data, starts, ends)
     _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(begin))
     return starts[first], ends[first], place, row

@@ -1,6 +1,5 @@
 """Rows equal in key and text: each text and each range is brought together once."""
 
-import pyarrow as pa
 from pyspark.sql import functions as F
 
 from martflow.llm import jaccard, passages, phrases, suffixes
@@ -30,15 +29,11 @@ def test_ranges_of_equal_rows_are_listed_once(spark):
     assert found == [(7, [3], [4], COPIES), (8, [], [], 1), (9, [], [], 1)]
 
 
-def test_blocks_hold_a_text_once(spark):
+def test_a_class_has_one_text(spark):
     rows = passages.numbered(equal_rows(spark), "doc_id", "text")
-    teams = rows.where("doc = 7").select("uid").distinct()
-    teams = teams.withColumn("anchor", F.lit(1).cast("long"))
-
-    def look(table):
-        return pa.RecordBatch.from_arrays([pa.array([table.num_rows])] * 2, ["a", "b"])
-
-    assert [r["a"] for r in jaccard._in_blocks(teams, rows, look).collect()] == [1]
+    example = rows.where("doc = 7").select("uid").distinct()
+    example = example.select("uid", F.lit(1).alias("class"), F.lit(58).alias("n_grams"))
+    assert [(r["class"], len(r["text"])) for r in jaccard.class_texts(rows, example).collect()] == [(1, 409)]
 
 
 def test_results_of_equal_rows(spark):

@@ -92,6 +92,34 @@ def test_chains_in_many_tiles(spark, monkeypatch):
     assert found(spark, rows, n=1, percent=97) == plain(rows, 1, 97)
 
 
+def test_bounds_by_bitmaps_of_different_width():
+    rng = np.random.default_rng(3)
+    draw = lambda n: np.unique(rng.integers(0, 2**64 - 1, n, np.uint64))
+    for size in (1, 50, 1000, 1030, 5000):
+        one = draw(size)
+        other = np.sort(np.append(one[: size * 4 // 5], draw(size // 2 + 1)))
+        a, b = jaccard.bitmap(one), jaccard.bitmap(other)
+        words = min(len(a), len(b))
+        a, b = jaccard.folded(a, words), jaccard.folded(b, words)
+        same = len(np.intersect1d(one, other))
+        bound = jaccard.overlap_bounds(len(one), a, np.array([len(other)]), b[None])[0]
+        assert same <= bound < same + max(20, size // 3)
+
+
+def test_few_texts_meet_in_tiles(spark, monkeypatch):
+    """Members of one group that cannot link: no text is sent for them."""
+    seen, real = [], jaccard._in_blocks
+    monkeypatch.setattr(jaccard, "_in_blocks", lambda df, look, *schema: seen.append(df) or real(df, look, *schema))
+    rng = random.Random(2)
+    texts = [f"{' '.join(f's{i}' for i in range(30))} {' '.join(f'{d}x{i}' for i in range(30))}" for d in range(40)]
+    texts += family(rng, 100, 5, 4)
+    rows = list(enumerate(texts))
+    assert found(spark, rows) == plain(rows, 3, 90)
+    tiles, brought = seen[1], seen[-1]
+    assert "bits" in tiles.columns and "text" not in tiles.columns
+    assert brought.count() == 0
+
+
 def test_cases(spark):
     long = " ".join(f"t{i}" for i in range(60_000))
     rows = [
