@@ -77,7 +77,7 @@ def _drop(spark: SparkSession, table: str, buckets: Sequence[str]) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = '{b}')")
 
 
-def _depth(rows: int, limit: int) -> int:
+def bucket_depth(rows: int, limit: int) -> int:
     """How many more bits bring buckets of so many rows below the limit."""
     return max(0, math.ceil(math.log2(rows / limit))) if rows else 0
 
@@ -116,7 +116,7 @@ def upsert_bucketed(
     by = list(bucket_by or keys)
     if not table_exists(spark, table):
         rows = materialize(unique_or_fail(source, keys, "upsert source"))
-        length = min(1 + _depth(rows.count(), rows_per_bucket), 1 + BITS)
+        length = min(1 + bucket_depth(rows.count(), rows_per_bucket), 1 + BITS)
         bits = hash_bits(F.col(KEY))
         first = with_key(rows, by).withColumn(BUCKET, F.substring(bits, 1, length)).drop(KEY)
         initial_load(first, table, partition_by=[BUCKET], order_by=keys)
@@ -128,7 +128,7 @@ def upsert_bucketed(
     )
     large = merged.groupBy(BUCKET).count().where(F.col("count") > rows_per_bucket).collect()
     deeper = {
-        r[BUCKET]: min(len(r[BUCKET]) + _depth(r["count"], rows_per_bucket), 1 + BITS) for r in large
+        r[BUCKET]: min(len(r[BUCKET]) + bucket_depth(r["count"], rows_per_bucket), 1 + BITS) for r in large
     }
     deeper = {b: n for b, n in deeper.items() if n > len(b)}
     if deeper:

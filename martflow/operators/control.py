@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import materialize
-from .upsert import merge_frames
+from .maxima import latest_date
+from .merge import merge_frames
 
 KEYS = ("table_name", "column_name")
 
@@ -40,11 +41,18 @@ def since(df: DataFrame, column: str, watermark: dt.date | None) -> DataFrame:
 
 def table_maxima(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     """Latest date of each (table, column), one row each, in a single job."""
+    return _named_maxima(
+        {
+            name: df.agg(F.max(name[1]).cast("date").alias("max_date"))
+            for name, df in tables.items()
+        }
+    )
+
+
+def _named_maxima(maxima: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     parts = [
-        df.agg(F.max(column).cast("date").alias("max_date")).select(
-            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "max_date"
-        )
-        for (table, column), df in tables.items()
+        row.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "max_date")
+        for (table, column), row in maxima.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -63,12 +71,15 @@ def advance(control: DataFrame, maxima: DataFrame) -> DataFrame:
 
 
 def advance_table(spark: SparkSession, control_table: str, schema: str | None = None) -> None:
-    """Advance every watermark of a stored control table."""
+    """Advance every watermark of a stored control table.
+
+    Tables whose loads note their latest dates are not scanned.
+    """
     control = spark.read.table(control_table)
     # The control table is the list of tables to read, a short row for each.
     entries = control.select(*KEYS).collect()
     prefix = f"{schema}." if schema else ""
-    sources = {(t, c): spark.read.table(f"{prefix}{t}") for t, c in entries}
-    if sources:
-        moved = materialize(advance(control, table_maxima(sources)))
+    latest = {(t, c): latest_date(spark, f"{prefix}{t}", c) for t, c in entries}
+    if latest:
+        moved = materialize(advance(control, _named_maxima(latest)))
         moved.write.mode("overwrite").insertInto(control_table)

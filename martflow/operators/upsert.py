@@ -17,7 +17,7 @@ from ..sources.tables import (
     partition_columns,
     table_exists,
 )
-from . import keyindex
+from . import keyindex, maxima
 from .merge import HASH, merge_frames
 from .reduce import keep_one, unique_or_fail
 
@@ -32,6 +32,7 @@ def upsert(
     hash_col: str | None = HASH,
     newest: str | None = None,
     key_index: bool = False,
+    keep_maxima: Sequence[str] = (),
 ) -> None:
     """Upsert into a stored table; the first run creates it.
 
@@ -42,14 +43,19 @@ def upsert(
     because a plan may not overwrite what it reads.
 
     A table without partitions is rewritten whole; for those that grow, use
-    :func:`~.buckets.upsert_bucketed`.
+    :func:`~.buckets.upsert_bucketed`. ``keep_maxima`` names date columns whose latest
+    values are noted for each partition (see :mod:`~.maxima`).
     """
     if not table_exists(spark, table):
         source = unique_or_fail(source, keys, "upsert source")
-        if key_index and not set(partition_by) <= set(keys):
+        indexed = key_index and not set(partition_by) <= set(keys)
+        if indexed or keep_maxima:
             source = materialize(source)
+        if indexed:
             keyindex.record_keys(spark, table, source, keys, partition_by)
         initial_load(source, table, cluster_by, partition_by)
+        if keep_maxima:
+            maxima.note(spark, table, source, partition_by[0], keep_maxima)
         return
     source = materialize(source)
     target = spark.read.table(table)
@@ -69,8 +75,12 @@ def upsert(
     merged = materialize(
         merge_frames(slice_, source, keys, update, hash_col=hash_col, newest=newest)
     )
+    if keep_maxima:
+        maxima.forget(spark, table, [p[0] for p in touched])
     with dynamic_overwrite(spark):
         by_partition(merged, parts).write.mode("overwrite").insertInto(table)
+    if keep_maxima:
+        maxima.note(spark, table, merged, parts[0], keep_maxima)
     # A row whose partition value changed can leave its old partition empty.
     filled = set(merged.select(*parts).distinct().collect())
     for p in touched:

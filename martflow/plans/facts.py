@@ -894,7 +894,16 @@ def load_fact(
     built = built.withColumn(PERIOD, F.date_format(date, GRAINS[grain]))
     # The period follows from a date of the key, so it may join the key and prune.
     keys = [*fact.keys, PERIOD] if date in fact.keys else list(fact.keys)
-    upsert(spark, table, built, keys, partition_by=[PERIOD], newest=fact.newest, key_index=True)
+    upsert(
+        spark,
+        table,
+        built,
+        keys,
+        partition_by=[PERIOD],
+        newest=fact.newest,
+        key_index=True,
+        keep_maxima=watermark_columns(fact),
+    )
     if stored is None:
         set_table_property(spark, table, GRAIN, grain)
 
@@ -940,5 +949,11 @@ def run_document(
         load_fact(spark, schema, fact, rows, dims, loaded_at, grain)
 
 
+def watermark_columns(fact: Fact) -> list[str]:
+    """The dates of a fact that some watermark follows."""
+    followed = [f.watermark[1] for f in FACTS.values() if f.watermark and f.watermark[0] == fact.table]
+    return sorted({fact.event, *followed})
+
+
 def watermark_of(fact: Fact, control: DataFrame) -> dt.date | None:
     return None if fact.watermark is None else read_watermark(control, *fact.watermark)

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.reduce import unique_or_fail
+from ..operators.buckets import BUCKET, ROWS_PER_BUCKET, bucket_depth, hash_bits
+from ..operators.checksums import (
+    bucket_sums,
+    changed_buckets,
+    store_sums,
+    stored_sums,
+    sums_of,
+)
+from ..operators.reduce import KEY, unique_or_fail, with_key
 from ..operators.scd import END, START, current, scd2_changes
 from ..operators.upsert import new_rows
 from ..sources.tables import (
@@ -89,14 +98,31 @@ DIMENSIONS = {
 
 # Closed versions are kept by the month of their end, open ones together. So a
 # run reads the open slice and rewrites it and the month it closes into, and a
-# lookup of recent events skips the months before them.
+# lookup of recent events skips the months before them. The open slice is cut into
+# buckets of the key hash, with a checksum of the last snapshot for each: buckets
+# whose checksum is that of the new snapshot are neither read nor written.
 SLICE = "closed_in"
 OPEN = "open"
 APPLIED = "martflow.applied_until"
+WIDTH = "martflow.bucket_width"
+CLOSED = "closed"
+
+
+def _stored(rows: DataFrame, keys: Sequence[str], width: int, like: DataFrame) -> DataFrame:
+    """Rows of a history with the partition they are stored in."""
+    bucket = F.when(F.col(END).isNull(), F.substring(hash_bits(F.col(KEY)), 1, width))
+    slices = F.coalesce(F.date_format(END, "yyyy-MM"), F.lit(OPEN))
+    keyed = with_key(rows, keys, like).withColumns(
+        {SLICE: slices, BUCKET: F.coalesce(bucket, F.lit(CLOSED))}
+    )
+    return keyed.drop(KEY)
 
 
-def _slice() -> dict:
-    return {SLICE: F.coalesce(F.date_format(END, "yyyy-MM"), F.lit(OPEN))}
+def _bucketed(snapshot: DataFrame, keys: Sequence[str], width: int, like: DataFrame) -> DataFrame:
+    """A snapshot in the types of the history, with the bucket of each row."""
+    typed = snapshot.select(*[F.col(c).cast(like.schema[c].dataType).alias(c) for c in snapshot.columns])
+    bucket = F.substring(hash_bits(F.col(KEY)), 1, width)
+    return with_key(typed, keys, like).withColumn(BUCKET, bucket).drop(KEY)
 
 
 def first_history(snapshot: DataFrame, at: dt.datetime) -> DataFrame:
@@ -106,17 +132,31 @@ def first_history(snapshot: DataFrame, at: dt.datetime) -> DataFrame:
 
 
 def apply_snapshot(
-    spark: SparkSession, table: str, dimension: Dimension, snapshot: DataFrame, at: dt.datetime
+    spark: SparkSession,
+    table: str,
+    dimension: Dimension,
+    snapshot: DataFrame,
+    at: dt.datetime,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> bool:
     """Apply one full snapshot to a stored history; False if it is not newer.
 
     The time of the last snapshot is a property of the table, so a replay after
     a failure is recognised and changes nothing. A snapshot older than the last
     one can't be applied any more, which a warning reports.
+
+    The snapshot is read whole, once for its checksums. The history is compared in the
+    buckets alone whose checksums differ. The size of the first snapshot sets their
+    number.
     """
+    keys = dimension.keys
     if not table_exists(spark, table):
-        first = first_history(unique_or_fail(snapshot, dimension.keys, "snapshot"), at)
-        initial_load(first.withColumns(_slice()), table, partition_by=[SLICE])
+        first = materialize(first_history(unique_or_fail(snapshot, keys, "snapshot"), at))
+        width = 1 + bucket_depth(first.count(), rows_per_bucket)
+        initial_load(_stored(first, keys, width, first), table, partition_by=[SLICE, BUCKET])
+        set_table_property(spark, table, WIDTH, str(width))
+        sums = bucket_sums(_bucketed(first, keys, width, first), snapshot.columns)
+        store_sums(spark, table, sums, None)
         _mark_applied(spark, table, at)
         return True
     done = applied_snapshot(spark, table)
@@ -125,22 +165,64 @@ def apply_snapshot(
     if done is not None and at <= done:
         return False
     history = spark.read.table(table)
-    open_versions = current(history.where(F.col(SLICE) == OPEN))
-    changes = scd2_changes(open_versions, snapshot, dimension.keys, dimension.tracked, at)
-    fresh = materialize(changes.withColumns(_slice()).select(*history.columns))
+    width = _width(spark, table, history)
+    arrived = _bucketed(snapshot, keys, width, history)
+    sums = materialize(bucket_sums(arrived, snapshot.columns).coalesce(1))
+    buckets = None
+    if table_exists(spark, sums_of(table)):
+        buckets = changed_buckets(stored_sums(spark, table), sums, width)
+    if buckets != []:
+        _apply_in_buckets(spark, table, dimension, arrived, history, buckets, at)
+        store_sums(spark, table, sums, buckets)
+    _mark_applied(spark, table, at)
+    return True
+
+
+def _apply_in_buckets(
+    spark: SparkSession,
+    table: str,
+    dimension: Dimension,
+    arrived: DataFrame,
+    history: DataFrame,
+    buckets: Sequence[str] | None,
+    at: dt.datetime,
+) -> None:
+    """Compare some buckets, or all, with a snapshot and store what changed."""
+    keys = dimension.keys
+    opened = history.where(F.col(SLICE) == OPEN)
+    if buckets is not None:
+        opened = opened.where(F.col(BUCKET).isin(list(buckets)))
+        arrived = arrived.where(F.col(BUCKET).isin(list(buckets)))
+    # Names of buckets, never more than there are.
+    before = opened.select(BUCKET).distinct().collect() if buckets is None else [(b,) for b in buckets]
+    changes = scd2_changes(
+        current(opened.drop(SLICE, BUCKET)), arrived.drop(BUCKET), keys, dimension.tracked, at
+    )
+    width = _width(spark, table, history)
+    fresh = materialize(_stored(changes, keys, width, history).select(*history.columns))
     closed, still_open = fresh.where(F.col(SLICE) != OPEN), fresh.where(F.col(SLICE) == OPEN)
     # The month already holds what earlier runs closed, and a failed run may
     # have stored what this one closes, so a version counts once.
     month = history.where(F.col(SLICE) == at.strftime("%Y-%m"))
-    kept = materialize(new_rows(closed, month, [*dimension.keys, START]))
+    kept = materialize(new_rows(closed, month, [*keys, START]))
     # Closed versions first: until the open slice follows, a retry redoes both.
     with dynamic_overwrite(spark):
         for rows in (closed.unionByName(kept), still_open):
-            by_partition(rows, [SLICE]).write.mode("overwrite").insertInto(table)
-    if still_open.isEmpty():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({SLICE} = '{OPEN}')")
-    _mark_applied(spark, table, at)
-    return True
+            by_partition(rows, [SLICE, BUCKET]).write.mode("overwrite").insertInto(table)
+    filled = {r[0] for r in still_open.select(BUCKET).distinct().collect()}
+    for bucket in sorted({r[0] for r in before} - filled):
+        spec = f"{SLICE} = '{OPEN}', {BUCKET} = '{bucket}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _width(spark: SparkSession, table: str, history: DataFrame) -> int:
+    """Letters of a bucket's name; lost with the driver of the first run, it is read off."""
+    width = table_property(spark, table, WIDTH)
+    if width is None:
+        opened = history.where(F.col(SLICE) == OPEN)
+        width = opened.agg(F.max(F.length(BUCKET))).first()[0] or 1
+        set_table_property(spark, table, WIDTH, str(width))
+    return int(width)
 
 
 def _mark_applied(spark: SparkSession, table: str, at: dt.datetime) -> None:
@@ -154,8 +236,8 @@ def applied_snapshot(spark: SparkSession, table: str) -> dt.datetime | None:
 
 
 def read_history(spark: SparkSession, table: str) -> DataFrame:
-    """A stored history without its storage slice."""
-    return spark.read.table(table).drop(SLICE)
+    """A stored history without its storage slice and bucket."""
+    return spark.read.table(table).drop(SLICE, BUCKET)
 
 
 __all__ = [

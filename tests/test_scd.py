@@ -139,6 +139,7 @@ def test_retry_after_half_a_run(spark, database):
             START: F.lit(T[0]).cast("timestamp_ntz"),
             END: F.lit(T[1]).cast("timestamp_ntz"),
             "closed_in": F.lit("2024-01"),
+            "key_bucket": F.lit("closed"),
         }
     )
     closed.write.mode("append").insertInto(table)
