@@ -508,12 +508,38 @@ def class_links(rows: DataFrame, sets: DataFrame, n: int, percent: int, rounds:
     rest = rest.join(connected(near).withColumnRenamed("node", "class"), "class", "left")
     rest = stored(rest.select("anchor", "tile", "class", F.coalesce("component", "class").alias("part")))
     apart = rest.groupBy("anchor").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    rest = rest.join(apart.where("low < high").select("anchor"), "anchor", "left_semi")
-    brought = rest.join(texts.select("class", "text"), "class")
+    rest = stored(rest.join(apart.where("low < high").select("anchor"), "anchor", "left_semi"))
+    brought = gathered_tiles(rest, texts).join(texts.select("class", "text"), "class")
     last = _in_blocks(brought, lambda table: _tiled(table, n, percent))
     return near.unionByName(stored(last.distinct()))
 
 
+def gathered_tiles(tiles: DataFrame, texts: DataFrame) -> DataFrame:
+    """The tiles ``anchor, tile, class, part`` with as few repetitions of a class as fit.
+
+    The same members meet in tile after tile. Tiles that share members are put together
+    to one, if their members fit into it: then each class comes once. Of others, tiles
+    of the same members are kept once. No pair of members that met is parted.
+    """
+    hubs = tiles.groupBy("anchor").agg(F.min("class").alias("hub"))
+    met = tiles.join(hubs, "anchor").select(F.col("class").alias("a"), F.col("hub").alias("b"))
+    groups = connected(met.distinct()).withColumnRenamed("node", "class")
+    weights = groups.join(texts.select("class", "n_grams"), "class").groupBy("component")
+    weights = weights.agg(F.sum("n_grams").alias("weight"))
+    placed = tiles.join(groups, "class").join(weights, "component")
+    placed = stored(placed.withColumn("fits", F.col("weight") <= TILE_GRAMS // 4))
+    whole = placed.where("fits").select(
+        F.xxhash64("component").alias("anchor"), F.lit(0).alias("tile"), "class", "part"
+    )
+    large = placed.where("NOT fits").select("anchor", "tile", "class", "part")
+    marks = [F.xxhash64("class", "tile"), F.xxhash64(F.lit(1), "class", "tile").cast("decimal(38,0)")]
+    kinds = large.groupBy("anchor").agg(
+        F.count("*").alias("n"), F.bit_xor(marks[0]).alias("one"), F.sum(marks[1]).alias("other")
+    )
+    once = kinds.groupBy("n", "one", "other").agg(F.min("anchor").alias("anchor"))
+    return whole.distinct().unionByName(large.join(once.select("anchor"), "anchor", "left_semi"))
+
+
 def jaccard_components(
     df: DataFrame,
     key: str = "doc_id",
