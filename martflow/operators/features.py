@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.clean import change_pct, ratio
 from ..functions.dates import Periods
+from .maxima import rows_since
 from .reduce import last_n
 
 # Document types and categories that count as customer business.
@@ -45,6 +46,11 @@ def eligible(invoices: DataFrame, periods: Periods) -> DataFrame:
     return invoices.where((F.col(DATE) >= F.lit(periods.cutoff)) & is_business())
 
 
+def stored_eligible(spark: SparkSession, table: str, periods: Periods) -> DataFrame:
+    """:func:`eligible` invoices of a stored fact; months before the window are not read."""
+    return rows_since(spark, table, DATE, periods.cutoff).where(is_business())
+
+
 def period_counts(
     df: DataFrame, keys: Sequence[str], item: str, conditions: Mapping[str, Column]
 ) -> DataFrame:

@@ -8,6 +8,7 @@ partition that is not noted, since a load was lost between the two, is read agai
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -60,24 +61,55 @@ def note(
     _write(noted(spark, table).unionByName(long), table)
 
 
+def _partitions(spark: SparkSession, table: str) -> set[str]:
+    """The stored partitions; the list is as long as the table has them."""
+    shown = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return {unquote(r[0].partition("=")[2]) for r in shown}
+
+
+def _has_notes(spark: SparkSession, table: str) -> bool:
+    return len(partition_columns(spark, table)) == 1 and table_exists(spark, maxima_of(table))
+
+
 def latest_date(spark: SparkSession, table: str, column: str) -> DataFrame:
     """One row with ``max_date``, the latest date of a column of a stored table.
 
     Noted partitions are not read. A table without notes is scanned.
     """
     target = spark.read.table(table)
-    whole = target.agg(F.max(column).cast("date").alias("max_date"))
-    parts = partition_columns(spark, table)
-    if len(parts) != 1 or not table_exists(spark, maxima_of(table)):
-        return whole
+    if not _has_notes(spark, table):
+        return target.agg(F.max(column).cast("date").alias("max_date"))
     own = noted(spark, table).where(F.col("column_name") == column)
-    # Both lists are bounded by the partitions of the table.
     known = {r["partition"] for r in own.select("partition").collect()}
-    shown = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    stored = {unquote(r[0].partition("=")[2]) for r in shown}
+    stored = _partitions(spark, table)
     held = own.where(F.col("partition").isin(sorted(stored & known)))
     latest = held.select(F.col("latest").alias("date"))
     if missing := sorted(stored - known):
-        unread = target.where(_named(parts[0]).isin(missing))
+        unread = _in(spark, table, missing)
         latest = latest.unionByName(unread.select(F.col(column).cast("date").alias("date")))
     return latest.agg(F.max("date").alias("max_date"))
+
+
+def _in(spark: SparkSession, table: str, partitions: Sequence[str]) -> DataFrame:
+    """The rows of some partitions. Literals of the column itself prune the scan."""
+    part = F.col(partition_columns(spark, table)[0])
+    kept = part.isin([p for p in partitions if p != NULL_PARTITION])
+    if NULL_PARTITION in partitions:
+        kept |= part.isNull()
+    return spark.read.table(table).where(kept)
+
+
+def rows_since(spark: SparkSession, table: str, column: str, day: dt.date) -> DataFrame:
+    """The rows of a stored table from a day on, whatever date it is stored by.
+
+    A date predicate alone prunes no partition of a table that is stored by a text of
+    another date. The notes tell which partitions end before the day; those are not
+    read. Partitions without notes are.
+    """
+    late = F.col(column).cast("date") >= F.lit(day)
+    if not _has_notes(spark, table):
+        return spark.read.table(table).where(late)
+    own = noted(spark, table).where(F.col("column_name") == column)
+    over = own.where(F.col("latest").isNull() | (F.col("latest") < F.lit(day)))
+    ended = {r["partition"] for r in over.select("partition").collect()}
+    return _in(spark, table, sorted(_partitions(spark, table) - ended)).where(late)

@@ -12,6 +12,7 @@ from ..operators import features as feat
 from ..operators.observe import observed
 from ..operators.scoring import FLAG_RULES, NO_FLAG, band, explain, read_scaler, scale
 from ..operators.scoring import fit_scaler, score_batches
+from ..operators.upsert import upsert
 from ..plans import churn
 from ..sources.tables import mark_run, materialize, materialized_view, new_database
 from .base import Derived, query, table
@@ -444,3 +445,48 @@ def q54_materialized_view(spark, sf_dir):
         mark_run(spark, f"{database}.runs")
     assert spark.read.table(f"{database}.runs").count() == 2
     return spark.read.table(f"{database}.counts")
+
+
+@query(f"""
+WITH {_ELIGIBLE}, {_RFM}
+SELECT * REPLACE ({_sql_rounded()}, CAST(last_invoice_date AS VARCHAR) AS last_invoice_date) FROM rfm
+""")
+def q58_rfm_of_stored_fact(spark, sf_dir):
+    """Features of a fact that is stored by the month of another date, in two loads."""
+    fact = f"{new_database(spark)}.invoices"
+    created = F.date_format(F.date_add("invoice_date", -F.pmod("nk_document_no", F.lit(40)).cast("int")), "yyyy-MM")
+    rows = invoices(spark, sf_dir).withColumns({"created": created, "row_hash": F.lit("")})
+    for part in (F.col("nk_document_no") % 3 > 0, F.lit(True)):
+        upsert(spark, fact, rows.where(part), ["nk_document_no", "created"], partition_by=["created"], keep_maxima=["invoice_date"])
+    return _rounded(feat.rfm(feat.stored_eligible(spark, fact, PERIODS), PERIODS))
+
+
+_STEPS = range(1, feat.SEQUENCE_LENGTH + 1)
+_LENGTHS = " + ".join(f"seq_days_to_pay_{i}" for i in _STEPS)
+_DAYS = " UNION ALL ".join(f"SELECT seq_days_to_pay_{i} AS d FROM seq" for i in _STEPS)
+
+
+@query(f"""
+WITH {_ELIGIBLE}, {_RFM}, {_MATRIX}, {_SEQUENCE},
+days AS (SELECT avg(d) AS mean, stddev_pop(d) AS size FROM ({_DAYS})),
+static AS (SELECT sk_customer_id, (recency_days - avg(recency_days) OVER ()) / stddev_pop(recency_days) OVER () AS r FROM matrix),
+scored AS (SELECT sk_customer_id, 1 / (1 + exp(-(0.5 * r + 0.1 * ({_LENGTHS} - {feat.SEQUENCE_LENGTH} * mean) / size))) AS p
+  FROM static JOIN seq USING (sk_customer_id) CROSS JOIN days)
+SELECT sk_customer_id, round(p, 2) AS churn_probability, '3' AS model_version FROM scored
+""")
+def q59_score_two_inputs(spark, sf_dir):
+    """A model of static features and scaled sequences, in batches on the executors."""
+    rows = invoices(spark, sf_dir)
+    matrix = materialize(_matrix(spark, sf_dir))
+    codes, scaler = churn.fit(matrix)
+    sequences = materialize(feat.sequence_array(feat.eligible(rows, PERIODS)))
+    recency = churn.STATIC_FEATURES.index("recency_days")
+    days = feat.SEQUENCE_COLUMNS.index("days_to_pay")
+
+    def predict(flat, steps):
+        return 1 / (1 + np.exp(-(0.5 * flat[:, recency] + 0.1 * steps[:, :, days].sum(axis=1))))
+
+    fitted = churn.fit_sequences(rows, PERIODS)
+    scores = churn.score_with(matrix, sequences, codes, scaler, fitted, predict, 3)
+    shown = scores.select("sk_customer_id", "churn_probability", "model_version")
+    return shown.withColumn("churn_probability", F.round("churn_probability", 2))

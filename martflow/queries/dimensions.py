@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.layout import names
 from ..operators.scd import END, START
 from ..plans import dimensions as dims
 from ..plans.history import DIMENSIONS, apply_snapshot, read_history
 from ..sources.tables import new_database
 from . import erp
-from .base import query
+from .base import layout_sql, query
 from .history import shown
 
 
@@ -84,8 +85,6 @@ def customer_external_info(spark, sf_dir):
     return dims.customer_external_info(staged, erp.history(spark, sf_dir, "dim_customer"))
 
 
-
-
 def _offers(spark, sf_dir):
     text = erp.OFFERS.text.replace("{q}", "`")
     return dims.stage_product_daily_offer(erp.Derived(text).frame(spark, sf_dir))
@@ -123,3 +122,21 @@ def dim_product_daily_offer(spark, sf_dir):
         erp.history(spark, sf_dir, "dim_salesperson"),
         F.lit(dt.date(2024, 1, 15)),
     )
+
+
+@query(f"""
+SELECT {layout_sql(dims.SUPPLIER)} FROM ({erp.SUPPLIERS.sql}) lf
+LEFT JOIN ({erp.ADDRESSES.sql}) ad ON lfadnummer = adnummer
+LEFT JOIN ({erp.COUNTRIES.sql}) lkz ON adlandkz = lkzlandkz
+""")
+def stg_supplier_all_columns(spark, sf_dir):
+    sources = (erp.SUPPLIERS, erp.ADDRESSES, erp.COUNTRIES)
+    staged = dims.stage_supplier(*[s.frame(spark, sf_dir) for s in sources])
+    return staged.select(*names(dims.SUPPLIER))
+
+
+@query(f"""
+SELECT {layout_sql(dims.WAREHOUSE)} FROM ({erp.STOCK.sql}) WHERE mlmankey = {dims.WAREHOUSE_TENANT}
+""")
+def stg_warehouse_all_columns(spark, sf_dir):
+    return dims.stage_warehouse(erp.STOCK.frame(spark, sf_dir)).select(*names(dims.WAREHOUSE))

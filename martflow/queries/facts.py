@@ -638,3 +638,19 @@ FROM ({SALES_HEADERS.sql}) h WHERE {_OPEN}
 def stg_sales_invoice_header_all_columns(spark, sf_dir):
     header, _ = _sales_invoice(spark, sf_dir)
     return header.select(*names(facts.SALES_INVOICE_HEADER))
+
+
+@query(f"""
+SELECT {layout_sql(facts.GOODS_RECEIPT, "lpmgist")} FROM ({RECEIPTS.sql}) WHERE lpdatum >= {_SINCE}
+""")
+def stg_goods_receipt_all_columns(spark, sf_dir):
+    staged = facts.stage_goods_receipt(RECEIPTS.frame(spark, sf_dir), WATERMARK)
+    return staged.select(*names(facts.GOODS_RECEIPT))
+
+
+@query(f"""
+SELECT {layout_sql(facts.SERIAL_EVENT)} FROM ({SERIALS.sql}) WHERE sedatum >= {_SINCE}
+""")
+def stg_serial_event_all_columns(spark, sf_dir):
+    staged = facts.stage_serial_events(SERIALS.frame(spark, sf_dir), WATERMARK)
+    return staged.select(*names(facts.SERIAL_EVENT))

@@ -10,7 +10,7 @@ from ..functions.keys import row_hash
 from ..operators.control import advance, read_watermark, since, table_maxima
 from ..operators.reduce import keep_one
 from ..operators.upsert import append_once, merge_frames, replace_period, upsert
-from ..sources.tables import initial_load, new_database
+from ..sources.tables import drop, initial_load, new_database, table_exists, temp_view
 from .base import query, table
 
 # The stored state holds the orders before this day, and each run reads the
@@ -209,3 +209,20 @@ def q55_upsert_many_partitions(spark, sf_dir):
     for load, rows in (("first", shipped), ("second", shipped.withColumn("quantity", raised))):
         upsert(spark, target, _hashed(rows, load, keys), keys, partition_by=["week"])
     return spark.read.table(target).select("week", "l_suppkey", "quantity")
+
+
+@query("""
+SELECT o_custkey, count(*) AS orders FROM orders WHERE o_orderstatus = 'F' GROUP BY 1
+""")
+def q60_scoped_view_and_drop(spark, sf_dir):
+    """A view that lives as long as a block, and a helper table that is dropped."""
+    database = new_database(spark)
+    helper, target = f"{database}.finished", f"{database}.counts"
+    initial_load(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), helper)
+    with temp_view(spark.read.table(helper), "finished_orders") as view:
+        counts = spark.sql(f"SELECT o_custkey, count(*) AS orders FROM {view} GROUP BY o_custkey")
+        initial_load(counts, target)
+    drop(spark, helper)
+    if table_exists(spark, helper) or spark.catalog.tableExists("finished_orders"):
+        raise AssertionError("the helper table and the view should be gone")
+    return spark.read.table(target)

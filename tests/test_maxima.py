@@ -79,3 +79,19 @@ def test_every_watermark_of_a_fact_is_noted():
     for fact in FACTS.values():
         if fact.watermark:
             assert fact.watermark[1] in watermark_columns(FACTS[fact.watermark[0]])
+
+
+def test_partitions_that_end_before_a_day_are_not_read(spark, database):
+    table = f"{database}.t"
+    days = [BEGIN + dt.timedelta(10 * i) for i in range(8)]
+    data = [(i, f"p{i}", d, "x") for i, d in enumerate(days)] + [(90, None, days[7], "x"), (91, "none", None, "x")]
+    load(spark, table, data)
+    got = maxima.rows_since(spark, table, "d", days[5])
+    assert rows(got, "k") == [(5,), (6,), (7,), (90,)]
+    read = {f.split("p=")[1].split("/")[0] for f in got.inputFiles()}
+    assert read == {"p5", "p6", "p7", maxima.NULL_PARTITION}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(p" in plan
+    # without notes all partitions are read, and the rows are the same
+    spark.sql(f"DROP TABLE {maxima.maxima_of(table)}")
+    assert rows(maxima.rows_since(spark, table, "d", days[5]), "k") == [(5,), (6,), (7,), (90,)]
