@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.clean import change_pct, ratio
 from ..functions.dates import Periods
+from .heaps import HEAP, merge_heaps
 from .maxima import rows_since
 from .reduce import last_n
 
@@ -203,7 +204,15 @@ def sequence_wide(
     length: int = SEQUENCE_LENGTH,
 ) -> DataFrame:
     """One column per feature and step, ``seq_<feature>_<step>``; gaps are 0."""
-    steps = sequence_steps(invoices, columns, length)
+    return wide_steps(sequence_steps(invoices, columns, length), columns, length)
+
+
+def wide_steps(
+    steps: DataFrame,
+    columns: Sequence[str] = SEQUENCE_COLUMNS,
+    length: int = SEQUENCE_LENGTH,
+) -> DataFrame:
+    """:func:`sequence_wide` of finished ``steps``."""
     wide = [
         F.coalesce(F.get("steps", F.lit(s - 1))[c], F.lit(0)).alias(f"seq_{c}_{s}")
         for c in columns
@@ -218,7 +227,15 @@ def sequence_array(
     length: int = SEQUENCE_LENGTH,
 ) -> DataFrame:
     """The steps as ``array<array<float>>``, step by feature, padded with 0."""
-    steps = sequence_steps(invoices, columns, length)
+    return array_steps(sequence_steps(invoices, columns, length), columns, length)
+
+
+def array_steps(
+    steps: DataFrame,
+    columns: Sequence[str] = SEQUENCE_COLUMNS,
+    length: int = SEQUENCE_LENGTH,
+) -> DataFrame:
+    """:func:`sequence_array` of finished ``steps``."""
     padded = [
         F.array(
             *[
@@ -231,6 +248,26 @@ def sequence_array(
     return steps.select(CUSTOMER, F.array(*padded).alias("sequence"))
 
 
+def keep_sequences(spark: SparkSession, table: str, invoices: DataFrame) -> None:
+    """Merge new invoices into the stored last ones of each customer."""
+    used = invoices.select(CUSTOMER, DATE, DOCUMENT, *SEQUENCE_COLUMNS)
+    merge_heaps(spark, table, used, [CUSTOMER], DOCUMENT, [DATE], SEQUENCE_LENGTH)
+
+
+def stored_steps(spark: SparkSession, table: str) -> DataFrame:
+    """The ``steps`` of :func:`sequence_steps`, from the stored last invoices."""
+    state = spark.read.table(table)
+    heap = state.schema[HEAP].dataType.elementType
+    flags = {f.name for f in heap.fields if f.dataType.simpleString() == "boolean"}
+
+    def step(row: Column, at: Column) -> Column:
+        fields = [row[c].cast("int") if c in flags else row[c] for c in SEQUENCE_COLUMNS]
+        named = [f.alias(c) for f, c in zip(fields, SEQUENCE_COLUMNS)]
+        return F.struct((at + 1).alias("rn"), *named)
+
+    return state.select(CUSTOMER, F.transform(HEAP, step).alias("steps"))
+
+
 def feature_matrix(features: DataFrame, attributes: DataFrame, sequences: DataFrame) -> DataFrame:
     """Features with customer attributes and sequences; numeric gaps are 0."""
     return (

@@ -490,3 +490,18 @@ def q59_score_two_inputs(spark, sf_dir):
     scores = churn.score_with(matrix, sequences, codes, scaler, fitted, predict, 3)
     shown = scores.select("sk_customer_id", "churn_probability", "model_version")
     return shown.withColumn("churn_probability", F.round("churn_probability", 2))
+
+
+def _kept_sequences(spark, sf_dir) -> DataFrame:
+    """Three batches, the last of which holds early invoices and repeats others."""
+    rows = feat.eligible(invoices(spark, sf_dir), PERIODS)
+    target, number = f"{new_database(spark)}.last_invoices", F.col("nk_document_no")
+    late = F.col("invoice_date") < F.lit(dt.date(2000, 1, 1))
+    for part in (~late & (number % 2 == 0), ~late & (number % 2 == 1), late | (number % 5 == 0)):
+        feat.keep_sequences(spark, target, rows.where(part))
+    return feat.stored_steps(spark, target)
+
+
+@query(f"WITH {_ELIGIBLE}, {_SEQUENCE} SELECT * FROM seq")
+def q61_kept_sequences(spark, sf_dir):
+    return feat.wide_steps(_kept_sequences(spark, sf_dir))
