@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.layout import names
 from ..operators.crawl import explode_items, parse_json
 from ..operators.upsert import append_once
+from ..operators.variants import field, fields, items, store_documents
 from ..plans.marketplace import (
     PRODUCT,
     SNAPSHOT_KEYS,
@@ -203,3 +204,40 @@ def fact_marketplace_price_snapshot_upsert(spark, sf_dir):
     return spark.read.table(target).select(
         *shown, "fetched_at", "stock_availability_date", "is_own_listing", "sk_product_id"
     )
+
+
+def _stored_documents(spark, sf_dir) -> DataFrame:
+    """Crawled documents, stored as VARIANT by two loads."""
+    target, whole = f"{new_database(spark)}.documents", crawl(spark, sf_dir)
+    early = F.col("fetched_at") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
+    for part in (early, ~early):
+        store_documents(whole.where(part), target, "raw_json", ("puid", "puid", "bigint"), ["fetched_at"])
+    return spark.read.table(target)
+
+
+@query(ORACLES["q33_json_explode"])
+def q62_variant_explode(spark, sf_dir):
+    """The offers of documents that were parsed when they arrived."""
+    offers = items(_stored_documents(spark, sf_dir), "supplierItems", ["puid"])
+    found = {
+        "supplier_item_id": ("id", "bigint"),
+        "supplier_name": ("supplierName", "string"),
+        "price": ("price", "double"),
+        "stock": ("stock", "bigint"),
+        "available": ("stockAvailabilityDate", "string"),
+    }
+    rows = offers.select("puid", *fields(found, "item"))
+    return rows.withColumn("available", F.col("available").try_cast("timestamp"))
+
+
+@query("""
+SELECT l_suppkey AS manufacturer_id, count(*) AS documents, count(DISTINCT l_partkey) AS products
+FROM lineitem WHERE l_linenumber <> 7 GROUP BY 1
+""")
+def q63_variant_one_field(spark, sf_dir):
+    """A count by one field of stored documents; their offers are not decoded."""
+    made = field("manufacturerId", "bigint").alias("manufacturer_id")
+    rows = _stored_documents(spark, sf_dir).select("puid", made)
+    return rows.groupBy("manufacturer_id").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_distinct("puid").alias("products")
+    )
