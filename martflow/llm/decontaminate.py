@@ -254,7 +254,12 @@ def mark_leaks(
     block_bytes: int = 16 << 20,
     short_items: bool = False,
 ) -> DataFrame:
-    """Add an array of leaked items: key, matching tokens, first document token."""
+    """Add an array of leaked items: key, matching tokens, first document token.
+
+    Columns of any name are kept; one named ``out`` is an error.
+    """
+    if out in df.columns:
+        raise ValueError(f"there is a column {out!r} already")
     spark = df.sparkSession
     items = benchmark.where(
         benchmark[item_key].isNotNull() & benchmark[item_text].isNotNull()
@@ -306,6 +311,9 @@ def mark_leaks(
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that leak no item."""
-    marked = mark_leaks(df, benchmark, text, "_found", **options)
-    return marked.where(F.size("_found") == 0).drop("_found")
+    """The rows of ``df`` that leak no item, with its columns of whatever name."""
+    found = "_found"
+    while found in df.columns:
+        found += "_"
+    marked = mark_leaks(df, benchmark, text, found, **options)
+    return marked.where(F.size(found) == 0).drop(found)
