@@ -168,7 +168,7 @@ def test_characters_of_scripts_without_spaces_are_tokens(spark):
 def test_columns_of_any_name_stay(spark):
     df = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p", 5), (2, "q", 6)], "item int, text string, _found int")
     items = spark.createDataFrame([(3, "a b c d e f g h i j k l m n o p")], "item_id int, text string")
-    left = decontaminate.without_leaks(df, items)
+    left = dc.without_leaks(df, items)
     assert left.columns == df.columns and [tuple(r) for r in left.collect()] == [(2, "q", 6)]
     with pytest.raises(ValueError):
-        decontaminate.mark_leaks(df, items, out="_found")
+        dc.mark_leaks(df, items, out="_found")
