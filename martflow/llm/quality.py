@@ -154,7 +154,9 @@ def learn_quality(
     """Train on at most ``sample_rows`` labelled whole texts of ``max_bytes`` at most.
 
     The sample is the labelled keys of smallest hash. Of several labels of one
-    key the lowest counts. Texts are found by a join with that short list.
+    key the lowest counts, of several texts the first in byte order. Texts are
+    found by a join with that short list, and one task trains on them: neither
+    texts nor vectors reach the driver, only the number of each table entry.
     """
     usable = labels.where(labels[label].isin(0, 1) & labels[key].isNotNull())
     listed = usable.groupBy(labels[key].alias("_key")).agg(F.min(label).cast("int").alias("_label"))
@@ -165,11 +167,26 @@ def learn_quality(
     rows = documents.where(F.octet_length(documents[text]).between(1, max_bytes)).select(
         documents[key].alias("_key"), documents[text].alias("_text")
     )
-    found: dict = {}
-    for row in rows.join(F.broadcast(chosen), "_key").toLocalIterator():
-        found[row["_key"]] = (row["_text"].encode(), row["_label"])
-    pairs = [found[k] for k in sorted(found)]
-    return train_quality([t for t, _ in pairs], np.array([y for _, y in pairs], int))
+    sample = rows.join(F.broadcast(chosen), "_key").groupBy("_key").agg(
+        F.min("_text").cast("binary").alias("_text"), F.min("_label").alias("_label")
+    )
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[bytes] = []
+        marks: list[int] = []
+        for batch in batches:
+            texts += batch.column("_text").to_pylist()
+            marks += batch.column("_label").to_pylist()
+        model = train_quality(texts, np.array(marks, int))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.worth.tobytes()]), pa.array([model.offset])], ["worth", "offset"]
+        )
+
+    fitted = sample.coalesce(1).sortWithinPartitions("_key").select("_text", "_label")
+    found = fitted.mapInArrow(fit, "worth binary, offset double").first()
+    if found is None:
+        return train_quality([], np.zeros(0, int))
+    return QualityModel(np.frombuffer(found["worth"], np.float32), found["offset"])
 
 
 def score_quality(
