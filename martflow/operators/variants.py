@@ -43,7 +43,18 @@ def store_documents(
 
     ``key`` is the name, path and type of the field that every document must have; it
     becomes a column of its own. Documents without it, or that are no JSON, are left out.
+    The test on the key sits inside the generator: as a plain filter it would be pushed
+    below the projection and parse every document a second time.
     """
+    append(with_key_field(df, text, key, keep), table)
+
+
+def with_key_field(
+    df: DataFrame, text: str, key: tuple[str, str, str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The kept columns, the key field and the document of texts that have the key."""
     name, path, kind = key
-    known = parsed(df, text, keep).withColumn(name, field(path, kind))
-    append(known.where(F.col(name).isNotNull()).select(*keep, name, DOCUMENT), table)
+    document = F.array(F.try_parse_json(text))
+    known = F.filter(document, lambda d: field(path, kind, d).isNotNull())
+    found = df.select(*keep, F.explode(known).alias(DOCUMENT))
+    return found.select(*keep, field(path, kind).alias(name), DOCUMENT)

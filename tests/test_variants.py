@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from martflow.operators.variants import field, fields, items, parsed, store_documents
+from martflow.operators.variants import field, fields, items, parsed, store_documents, with_key_field
 
 from .conftest import rows
 
@@ -45,3 +45,12 @@ def test_text_that_is_no_json_is_null(spark):
     df = spark.createDataFrame(DOCUMENTS, "id int, raw string")
     known = parsed(df, "raw", ["id"]).where(F.col("document").isNotNull())
     assert rows(known, "id") == [(1,), (2,), (3,), (5,), (7,)]
+
+
+def test_documents_are_parsed_once(spark):
+    df = spark.createDataFrame(DOCUMENTS, "id int, raw string")
+    known = with_key_field(df, "raw", ("k", "k", "bigint"), ["id"])
+    assert known.columns == ["id", "k", "document"]
+    assert rows(known, "id", "k") == [(1, 7), (3, 8)]
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1
