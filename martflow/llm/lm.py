@@ -144,6 +144,20 @@ def contexts(outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return near, np.where(near == END, END, far)
 
 
+class _ByRow:
+    """Sums of slopes by the row they move; a stable sort keeps their order."""
+
+    def __init__(self, place: np.ndarray, rows: int):
+        # short numbers are sorted by radix
+        self.order = np.argsort(place.astype(np.min_scalar_type(rows)), kind="stable")
+        place = place[self.order]
+        self.first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        self.row = place[self.first]
+
+    def total(self, slope: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(np.take(slope, self.order, axis=0), self.first, axis=0)
+
+
 class _Steps:
     """Adagrad steps of one array."""
 
@@ -155,11 +169,8 @@ class _Steps:
         self.squares += slope * slope
         self.values -= RATE * slope / np.sqrt(self.squares)
 
-    def rows(self, place: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(place, kind="stable")
-        first = np.flatnonzero(np.append(True, place[order][1:] != place[order][:-1]))
-        total = np.add.reduceat(slope[order], first, axis=0)
-        row = place[order][first]
+    def rows(self, by_row: _ByRow, slope: np.ndarray) -> None:
+        row, total = by_row.row, by_row.total(slope)
         self.squares[row] += total * total
         self.values[row] -= RATE * total / np.sqrt(self.squares[row])
 
@@ -185,23 +196,31 @@ class Trainer:
 
     def _batch(self, word: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
         m, step = self.model, self.steps
-        one, two = m.context[near], m.context[far]
+        one, two = np.take(m.context, near, axis=0), np.take(m.context, far, axis=0)
         mean = one @ m.near + two @ m.far
         drawn = self.rng.choice(len(self.share), NOISE_DRAWN, p=self.share)
-        real = (mean * m.target[word]).sum(axis=1) + m.offset[word] - self.log_noise[word]
-        noise = mean @ m.target[drawn].T + m.offset[drawn] - self.log_noise[drawn]
+        right = np.take(m.target, word, axis=0)
+        real = (mean * right).sum(axis=1) + m.offset[word] - self.log_noise[word]
+        noise = mean @ m.target[drawn].T
+        noise += m.offset[drawn]
+        noise -= self.log_noise[drawn]
         scale = np.float32(1 / len(word))
         real = (1 / (1 + np.exp(-real)) - 1) * scale
-        noise = 1 / (1 + np.exp(-noise)) * (scale * np.float32(NOISE_RATIO / NOISE_DRAWN))
-        back = real[:, None] * m.target[word] + noise @ m.target[drawn]
+        np.exp(np.negative(noise, out=noise), out=noise)
+        noise += 1
+        np.divide(1, noise, out=noise)
+        noise *= scale * np.float32(NOISE_RATIO / NOISE_DRAWN)
+        back = real[:, None] * right + noise @ m.target[drawn]
         places = np.concatenate([word, drawn])
         slope = np.concatenate([real[:, None] * mean, noise.T @ mean])
         own = np.concatenate([real, noise.sum(axis=0)])
         to_one, to_two = back @ m.near.T, back @ m.far.T
         to_near, to_far = one.T @ back, two.T @ back
-        step["target"].rows(places, slope)
-        step["offset"].rows(places, own)
-        step["context"].rows(np.concatenate([near, far]), np.concatenate([to_one, to_two]))
+        by_output = _ByRow(places, len(self.share))
+        by_context = _ByRow(np.concatenate([near, far]), len(self.share))
+        step["target"].rows(by_output, slope)
+        step["offset"].rows(by_output, own)
+        step["context"].rows(by_context, np.concatenate([to_one, to_two]))
         step["near"].all(to_near)
         step["far"].all(to_far)
 

@@ -126,3 +126,17 @@ def test_query(spark):
     check(out, plain(rows, held))
     apart = [r for r in out if r[1]]
     assert sum(r[6] for r in apart) > sum(r[5] for r in apart)
+
+
+def test_slopes_are_summed_by_row_with_one_sort_of_short_numbers():
+    rng = np.random.default_rng(5)
+    place, slope = rng.integers(0, 300, 4000), rng.normal(size=(4000, 3)).astype(np.float32)
+    by_row = lm._ByRow(place, 300)
+    want = np.zeros((300, 3))
+    np.add.at(want, place, slope)
+    assert by_row.row.dtype == place.dtype and (np.diff(by_row.row) > 0).all()
+    got = np.zeros((300, 3))
+    got[by_row.row] = by_row.total(slope)
+    np.testing.assert_allclose(got, want, atol=1e-4)
+    # the sums of two arrays, of one and of two dimensions, share the sort
+    np.testing.assert_allclose(by_row.total(slope[:, 0]), want[by_row.row, 0], atol=1e-4)
