@@ -1,4 +1,6 @@
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -238,3 +240,17 @@ def test_work_folder_comes_from_the_session(spark):
     assert tables.work_dir(spark) == folder
     copy = tables.materialize(spark.range(3).toDF("id"))
     assert copy.inputFiles()[0].replace("file://", "").startswith(folder) and copy.count() == 3
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(str(d)) for d in manager.localDirs()]
+    before = {f for d in folders for f in d.rglob("shuffle_*.data")}
+    stored = tables.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(100):
+        left = {f for d in folders for f in d.rglob("shuffle_*.data")} - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and stored.count() == 7
+    assert spark.conf.get(tables.SHUFFLE_CLEANUP) == "false"
