@@ -26,10 +26,13 @@ def header_lines(
     hold a large share of all lines, and Spark can split such a partition of
     lines in an inner join but not in a left join. So headers without lines are
     added by an anti join on the distinct ids.
+
+    Lines are many and wide, so they are matched by a hash table of each partition's
+    headers; a merge join would sort them, and spill them to disk.
     """
     match = all_of([F.col(h) == F.col(l) for h, l in on])
     ids = lines.select(*[l for _, l in on]).distinct()
-    detail = headers.join(lines, match).select(*columns)
+    detail = headers.hint("shuffle_hash").join(lines, match).select(*columns)
     if how == "inner":
         return headers.join(ids, match, "left_semi"), detail
     if how != "left":

@@ -217,3 +217,12 @@ def test_the_latest_row_of_a_key_stays(spark, database):
     for some in ([at(2, 1), at(5, 2), at(3, 3)], [at(4, 4)]):
         facts.load_fact(spark, database, spec, spark.createDataFrame(some, kind), {})
     assert rows(spark.read.table(f"{database}.prices"), "v") == [(2,)]
+
+
+def test_wide_lines_are_not_sorted_for_their_headers(spark):
+    headers = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "id int, h string")
+    lines = spark.createDataFrame([(1, 1), (1, 2), (None, 3)], "doc int, pos int")
+    _, joined = header_lines(headers, lines, [("id", "doc")], ["id", "h", "pos"], "inner")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(joined) == [(1, "a", 1), (1, "a", 2), (1, "b", 1), (1, "b", 2)]
