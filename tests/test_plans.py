@@ -226,3 +226,21 @@ def test_wide_lines_are_not_sorted_for_their_headers(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     assert rows(joined) == [(1, "a", 1), (1, "a", 2), (1, "b", 1), (1, "b", 2)]
+
+
+def test_a_hash_before_the_lookups_gives_the_same_fact(spark):
+    made = D(2024, 1, 5)
+    lines = [(1, 2, p, n, made, i) for i, (p, n) in enumerate([(1, 7), (1, 7), (1, 8), (2, None), (2, None)])]
+    staged = spark.createDataFrame(
+        lines, "nk_document_id int, nk_document_no int, position_seq_no int, nk_product_id int, "
+        "invoice_date timestamp_ntz, quantity int"
+    )
+    versions = [(7, "s7", D(2024, 1, 1), None), (8, "s8", D(2024, 2, 1), None)]
+    kind = f"nk_product_id int, sk_product_id string, {START} timestamp_ntz, {END} timestamp_ntz"
+    dims = {"dim_product": spark.createDataFrame(versions, kind)}
+    fact, moment = FACTS["fact_sales_invoice_lines"], F.lit(1)
+    late = facts.build_fact(fact, staged, dims, moment)
+    early = facts.build_fact(fact, staged, dims, moment, hash_first=True)
+    assert early.columns == late.columns and rows(early) == rows(late) and late.count() == 3
+    plan = early.select("quantity", "row_hash")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("md5")
