@@ -50,5 +50,6 @@ def row_hash(cols: Sequence[Column | str], compat: bool = False) -> Column:
     if compat:
         parts = [F.coalesce(v.cast("string"), F.lit("")) for v in values]
     else:
-        parts = [_marked(v) for v in values]
+        # A mark for the whole list: one for each of many columns is more code than a JVM compiles.
+        parts = [F.transform(F.array(*[v.cast("string") for v in values]), _marked)]
     return F.md5(F.concat_ws(HASH_SEPARATOR, *parts))

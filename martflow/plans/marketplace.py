@@ -12,7 +12,7 @@ from ..functions.layout import Field, layout, names
 from ..operators.buckets import upsert_bucketed
 from ..operators.control import since
 from ..operators.crawl import explode_items, parse_json
-from ..operators.reduce import keep_one
+from ..operators.reduce import argmax_rows, keep_one
 from ..operators.temporal import asof_lookup
 from ..operators.upsert import HASH, append_once
 
@@ -137,11 +137,14 @@ recommended_retail_price_net    o.recommendedRetailPriceNet keep
 SNAPSHOT_KEYS = ("puid", "supplier_item_id", "fetched_at")
 
 
-def _typed(fields: tuple[Field, ...]) -> list[Column]:
-    """Crawled times are free text, so a bad one becomes NULL."""
+def _typed(fields: tuple[Field, ...], named: bool = False) -> list[Column]:
+    """Crawled times are free text, so a bad one becomes NULL.
+
+    With ``named`` the columns already have the names of the layout.
+    """
     out = []
     for f in fields:
-        c = F.col(f.source)
+        c = F.col(f.name if named else f.source)
         out.append((c.try_cast("timestamp") if f.rule == "moment" else c).alias(f.name))
     return out
 
@@ -149,11 +152,14 @@ def _typed(fields: tuple[Field, ...]) -> list[Column]:
 def marketplace_products(crawl: DataFrame, watermark: dt.date | None = None) -> DataFrame:
     """The latest crawl of each product, with its change hash.
 
-    Only the product fields are parsed, not the offers.
+    Only the product fields are parsed, not the offers. Older crawls of a product go
+    before times are read and rows are hashed.
     """
     recent = since(crawl, "fetched_at", watermark)
     parsed = parse_json(recent, "raw_json", PRODUCT_FIELDS, "puid", ["fetched_at"])
-    rows = parsed.select("fetched_at", *_typed(PRODUCT))
+    raw = parsed.select("fetched_at", *[F.col(f.source).alias(f.name) for f in PRODUCT])
+    latest = argmax_rows(raw, ["puid"], "fetched_at")
+    rows = latest.select("fetched_at", *_typed(PRODUCT, named=True))
     compared = [c for c in names(PRODUCT) if c != "puid"]
     hashed = rows.withColumn(HASH, row_hash(compared))
     return keep_one(hashed, ["puid"], [F.col("fetched_at").desc(), HASH])

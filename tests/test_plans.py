@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martflow.functions.dates import Periods
+from martflow.functions.keys import row_hash
 from martflow.functions.layout import missing_columns, with_absent
 from martflow.operators.calendar import date_dim
 from martflow.operators.crawl import parse_json
@@ -244,3 +245,18 @@ def test_a_hash_before_the_lookups_gives_the_same_fact(spark):
     assert early.columns == late.columns and rows(early) == rows(late) and late.count() == 3
     plan = early.select("quantity", "row_hash")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join LeftOuter") < plan.index("md5")
+
+
+def test_only_the_latest_crawls_are_hashed(spark):
+    data = [(D(2024, 1, d), f'{{"puid": 1, "productName": "{n}"}}') for d, n in ((1, "a"), (2, "b"), (2, "c"), (2, "b"))]
+    data += [(None, '{"puid": 2, "productName": "d"}'), (None, "{oops")]
+    crawl = spark.createDataFrame(data, "fetched_at timestamp_ntz, raw_json string")
+    got = marketplace.marketplace_products(crawl)
+    everything = spark.createDataFrame([("b",), ("c",)], "product_name string").withColumns(
+        {c: F.lit(None).cast(got.schema[c].dataType) for c in got.columns if c not in ("product_name", "row_hash")}
+    )
+    compared = [f.name for f in marketplace.PRODUCT if f.name != "puid"]
+    smallest = everything.select("product_name", row_hash(compared).alias("h")).orderBy("h").first()["product_name"]
+    assert rows(got, "puid", "product_name", "fetched_at") == [(1, smallest, D(2024, 1, 2)), (2, "d", None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "rank(fetched_at" in plan and plan.index("md5(") < plan.index("rank(fetched_at")
