@@ -40,7 +40,7 @@ def asof_lookup(
     kinds = {"date": "date", "timestamp": "timestamp_ntz"}
     kind = kinds[precision]
     renamed = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
-    pairs = [(f"__l{i}", f"__d{i}", l, d) for i, (l, d) in enumerate(on)]
+    pairs = [(l if isinstance(l, str) else f"__l{i}", f"__d{i}", l, d) for i, (l, d) in enumerate(on)]
 
     versions = dim.select(
         *[as_col(d).alias(dn) for _, dn, _, d in pairs],
@@ -48,18 +48,15 @@ def asof_lookup(
         F.coalesce(F.col(END).cast(kind), F.lit(open_until).cast(kind)).alias("__end"),
         *[F.col(c).alias(new) for c, new in renamed.items()],
     ).where(all_of([F.col(dn).isNotNull() for _, dn, _, _ in pairs]))
-    events = left.withColumns(
-        {
-            **{ln: as_col(l) for ln, _, l, _ in pairs},
-            "__event": as_col(event).cast(kind),
-            "__only": F.lit(True) if only is None else only,
-        }
-    )
+    # Only key expressions become columns, which every event would carry to the join.
+    made = {ln: l for ln, _, l, _ in pairs if not isinstance(l, str)}
+    events = left.withColumns(made) if made else left
+    moment = as_col(event).cast(kind)
     match = [F.col(ln) == F.col(dn) for ln, dn, _, _ in pairs]
-    still_open = F.col("__end").isNull() | (F.col("__event") < F.col("__end"))
-    match += [F.col("__event") >= F.col("__start"), still_open]
+    still_open = F.col("__end").isNull() | (moment < F.col("__end"))
+    match += [moment >= F.col("__start"), still_open]
     if only is not None:
-        match.append(F.col("__only"))
+        match.append(only)
     return events.join(versions, all_of(match), "left").select(*left.columns, *renamed.values())
 
 

@@ -20,7 +20,7 @@ from ..sources.tables import (
 )
 from . import keyindex, maxima
 from .merge import HASH, merge_frames
-from .reduce import keep_one, unique_or_fail
+from .reduce import KEY, keep_one, unique_or_fail, with_key
 
 def upsert(
     spark: SparkSession,
@@ -144,17 +144,26 @@ def append_once(
 
     ``since`` limits the part of the table to look in, normally the look-back
     window the source was read with. Of several source rows of a key the first
-    by ``order_by`` stays, and of equal ones that with the smallest row hash.
+    by ``order_by`` stays, and of equal ones that with the smallest row hash. The hash is
+    sorted by its bytes, in the order of its text and half as long.
     """
     rest = [c for c in source.columns if c not in keys]
-    source = keep_one(source, keys, [*order_by, row_hash(rest) if rest else F.lit(0)])
+    first = [*order_by, F.unhex(row_hash(rest)) if rest else F.lit(0)]
     if not table_exists(spark, table):
-        initial_load(source, table, cluster_by, partition_by)
+        initial_load(keep_one(source, keys, first), table, cluster_by, partition_by)
         return
     target = spark.read.table(table)
     seen = target if since is None else target.where(since)
-    fresh = materialize(new_rows(seen, source, keys))
-    fresh.select(*target.columns).write.mode("append").insertInto(table)
+    if all(source.schema[k].dataType == target.schema[k].dataType for k in keys):
+        # A key struct lets the reduction and the match share one shuffle.
+        batch, match = with_key(source, keys), [KEY]
+        seen = with_key(seen.select(*keys), keys)
+        fresh = keep_one(batch, match, first).join(seen.select(KEY), KEY, "left_anti")
+    else:
+        fresh = new_rows(seen, keep_one(source, keys, first), keys)
+    # The files of the table are listed before the append, which only adds to them.
+    with shuffles_removed(spark):
+        fresh.select(*target.columns).write.mode("append").insertInto(table)
 
 
 def replace_slice(target: DataFrame, source: DataFrame, slice_: Column) -> DataFrame:

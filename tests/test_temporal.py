@@ -114,3 +114,9 @@ def test_hot_key_is_split(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_events_carry_no_helper_columns_to_the_join(events, dim):
+    df = asof_lookup(events, dim, [("k", "k")], "at", ["sk"], only=F.col("id") > 2)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(name in plan for name in ("__event", "__only", "__l0"))

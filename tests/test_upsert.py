@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import time
 from pathlib import Path
 
@@ -254,3 +255,19 @@ def test_a_write_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not left and stored.count() == 7
     assert spark.conf.get(tables.SHUFFLE_CLEANUP) == "false"
+
+
+def test_an_append_shuffles_a_batch_once(spark, database):
+    table, folder = f"{database}.seen", Path(tables.work_dir(spark))
+    kind = "k int, at int, v string"
+    first = spark.createDataFrame([(1, 1, "a"), (None, 1, "b"), (None, 1, "a")], kind)
+    append_once(spark, table, first, ["k", "at"])
+    copies = set(folder.glob("stage-*"))
+    again = spark.createDataFrame([(1, 1, "x"), (None, 1, "y"), (2, None, "c"), (2, None, "d")], kind)
+    append_once(spark, table, again, ["k", "at"])
+    assert set(folder.glob("stage-*")) == copies
+    smallest = [(k, t, min(vs, key=lambda v: hashlib.md5(v.encode()).hexdigest())) for k, t, vs in
+                ((1, 1, "a"), (None, 1, "ab"), (2, None, "cd"))]
+    assert rows(spark.read.table(table), "k", "at", "v") == sorted(smallest, key=str)
+    append_once(spark, table, again.withColumn("k", F.col("k").cast("long")), ["k", "at"])
+    assert spark.read.table(table).count() == 3
