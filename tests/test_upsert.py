@@ -271,3 +271,12 @@ def test_an_append_shuffles_a_batch_once(spark, database):
     assert rows(spark.read.table(table), "k", "at", "v") == sorted(smallest, key=str)
     append_once(spark, table, again.withColumn("k", F.col("k").cast("long")), ["k", "at"])
     assert spark.read.table(table).count() == 3
+
+
+def test_a_source_that_changes_while_it_is_read_fails(spark, database):
+    table = f"{database}.changing"
+    upsert(spark, table, frame(spark, [(1, "x", "a", "1"), (2, "y", "a", "1")]), ["k", "p"], partition_by=["p"])
+    late = frame(spark, [(1, "x", "b", "2"), (3, "y", "b", "2")])
+    with pytest.raises(Exception, match="changed while it was read"):
+        upsert(spark, table, late, ["k", "p"], touching=late.where("k = 1").select("p"))
+    assert plain(spark.read.table(table)) == [(1, "x", "a", "1"), (2, "y", "a", "1")]
