@@ -1,6 +1,7 @@
 """Bucketed tables and the index of keys, against plain merges."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from martflow.operators.buckets import BUCKET, bucket_of, split_prefixes, stored
 from martflow.operators.upsert import upsert
 from martflow.plans import facts
 from martflow.plans.facts import FACTS, Fact, load_fact
+from martflow.sources.tables import work_dir
 
 from .conftest import rows
 
@@ -170,3 +172,32 @@ def test_facts_without_a_date_in_the_key_are_indexed(spark, database, day):
     held = spark.read.table(f"{database}.g")
     assert rows(held, "k", "v", "event_period") == [(1, 2, "2024-03"), (10, 1, "2024-01"), (20, 2, "2024-03")]
     assert spark.read.table(f"{database}.{keyindex.index_of('g')}").count() == 4
+
+def test_a_new_table_is_not_copied_for_its_index(spark, database, monkeypatch):
+    folder, data = Path(work_dir(spark)), [(1, "a", 0, "x"), (None, "b", 0, "x")]
+    copies = set(folder.glob("stage-*"))
+    upsert(spark, f"{database}.t", moved(spark, data), ["k"], partition_by=["p"], key_index=True)
+    made = set(folder.glob("stage-*")) - copies
+    assert not [p for p in made if "v" in spark.read.parquet(str(p)).columns]
+    lost = f"{database}.lost"
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(keyindex, "index_stored", fail)
+        with pytest.raises(RuntimeError):
+            upsert(spark, lost, moved(spark, data), ["k"], partition_by=["p"], key_index=True)
+    for table in (f"{database}.t", lost):
+        upsert(spark, table, moved(spark, [(None, "c", 1, "y")]), ["k"], partition_by=["p"], key_index=True)
+        assert rows(spark.read.table(table), "k", "p", "v") == [(1, "a", 0), (None, "c", 1)]
+
+
+def test_an_index_left_over_learns_a_new_table_first(spark, database):
+    table = f"{database}.t"
+    for data in ([(1, "a", 0, "x")], [(2, "b", 0, "x"), (1, "c", 0, "x")]):
+        upsert(spark, table, moved(spark, data), ["k"], partition_by=["p"], key_index=True)
+        if data[0][0] == 1:
+            spark.sql(f"DROP TABLE {table}")
+    upsert(spark, table, moved(spark, [(1, "d", 1, "y")]), ["k"], partition_by=["p"], key_index=True)
+    assert rows(spark.read.table(table), "k", "p") == [(1, "d"), (2, "b")]

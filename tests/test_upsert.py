@@ -280,3 +280,53 @@ def test_a_source_that_changes_while_it_is_read_fails(spark, database):
     with pytest.raises(Exception, match="changed while it was read"):
         upsert(spark, table, late, ["k", "p"], touching=late.where("k = 1").select("p"))
     assert plain(spark.read.table(table)) == [(1, "x", "a", "1"), (2, "y", "a", "1")]
+
+
+def test_late_rows_rewrite_nothing(spark, database):
+    table = f"{database}.late"
+    load = lambda *data: upsert(
+        spark, table, frame(spark, list(data)), ["k"], partition_by=["p"], newest="load"
+    )
+    files = lambda: {r[0] for r in spark.read.table(table).select(F.input_file_name()).collect()}
+    load((1, "x", "a", "5"), (2, "y", "b", "5"), (None, "z", "c", "5"), (4, None, "d", None))
+    before, folder = files(), Path(tables.work_dir(spark))
+    copies = set(folder.glob("stage-*"))
+    # older, the same row again, and an older row of another partition
+    load((1, "x", "A", "4"), (2, "y", "b", "9"), (None, "x", "C", "4"))
+    assert files() == before
+    wide = [p for p in set(folder.glob("stage-*")) - copies if "v" in spark.read.parquet(str(p)).columns]
+    assert not wide
+    load((1, "x", "A", "4"), (2, "w", "B", "6"), (None, "z", "c", "9"), (4, None, "D", "1"), (5, "y", "e", None))
+    assert plain(spark.read.table(table)) == sorted(
+        [(1, "x", "a", "5"), (2, "w", "B", "6"), (None, "z", "c", "5"), (4, None, "D", "1"), (5, "y", "e", None)], key=str
+    )
+    kept = {f for f in before if "p=x" in f or "p=z" in f}
+    assert len(kept) == 2 and kept <= files()
+    with pytest.raises(Exception, match="duplicate key in upsert source"):
+        load((1, "x", "A", "4"), (1, "x", "B", "3"))
+    with pytest.raises(ValueError, match="missing in source: v"):
+        upsert(spark, table, spark.createDataFrame([(1, "x", "4", "h")], "k int, p string, load string, row_hash string"),
+               ["k"], partition_by=["p"], newest="load")
+
+
+@pytest.mark.parametrize("kind, other", [("double", 0.0), ("timestamp", dt.datetime(2024, 1, 1)), ("array<string>", ["a, b"])])
+def test_late_rows_of_other_key_types(spark, database, kind, other):
+    table = f"{database}.kinds_{kind[:5]}"
+    same = -0.0 if kind == "double" else other
+    first = spark.createDataFrame([(other, "x", 5, "a")], f"k {kind}, p string, at int, row_hash string")
+    upsert(spark, table, first, ["k"], partition_by=["p"], newest="at")
+    for key, at in ((same, 4), (same, 6)):
+        late = spark.createDataFrame([(key, "y", at, f"b{at}")], first.schema)
+        upsert(spark, table, late, ["k"], partition_by=["p"], newest="at")
+        assert rows(spark.read.table(table), "p", "at") == [("x", 5) if at == 4 else ("y", 6)]
+
+
+def test_equally_new_rows_are_settled_by_their_hash(spark, database):
+    got = []
+    for first, second in (("a", "b"), ("b", "a")):
+        table = f"{database}.tie_{first}"
+        for h in (first, second):
+            row = spark.createDataFrame([(1, h, 5, h)], "k int, p string, at int, row_hash string")
+            upsert(spark, table, row, ["k"], partition_by=["p"], newest="at")
+        got.append(rows(spark.read.table(table), "p"))
+    assert got[0] == got[1] == [("a",)]
