@@ -287,3 +287,34 @@ def test_a_later_load_reads_its_source_in_place(spark, database, name, copies_ma
     got = spark.read.table(f"{database}.{spec.table}")
     assert rows(got, "nk_document_id", "amount") == sorted([("a", 2), ("b", 1), ("c", 3), (None, 4)], key=str)
     assert got.columns[-3:] == ["row_hash", "dw_loaded_at", "event_period"]
+
+
+def test_prices_are_shuffled_by_product_once(spark):
+    def source(data, kind, alias):
+        fields = [f for f in (*facts.PRODUCT_PRICE, *facts.PRICE_TIERS) if f.source.startswith(f"{alias}.")]
+        return complete(spark.createDataFrame(data, kind), [f._replace(source=f.source[len(alias) + 1:]) for f in fields])
+
+    at = D(2024, 1, 5)
+    data = [(1, 1, "EUR", 10), (1, 2, "EUR", 10), (1, 1, "USD", 11), (1, None, "EUR", 10), (1, 1, None, 12),
+            (None, 1, "EUR", 10), (2, 1, "EUR", None), (3, 1, "EUR", 10)]
+    prices = source([(*r, at) for r in data], "anidnr int, anmankey int, anwaehrung string, anpid int, updtime timestamp_ntz", "p")
+    parameters = source(
+        [(1, 1, "EUR", 5), (1, 2, "EUR", 6), (1, 1, None, 7), (1, None, "EUR", 8), (None, 1, "EUR", 9), (2, 1, "EUR", 4), (2, 1, "EUR", 3)],
+        "awidnr int, awmankey int, awwaehrung string, awempfvk int", "w",
+    )
+    groups = source([(10, 1, "ten"), (10, 2, "two"), (None, 1, "none"), (12, 1, "twelve")], "aapid int, aamankey int, aapbez string", "vp")
+    fact = FACTS["fact_product_prices"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = facts.stage_product_prices(prices, parameters, groups)
+        found = facts.look_up(fact, staged, {"dim_product": dim(spark, "nk_product_id", "sk_product_id")})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # prices and groups by group; those, parameters and products by product
+    assert plan.count("Exchange hashpartitioning") == 5
+    key = "sk_product_id-1"
+    want = [(key, "EUR", 10, "ten", 5), (key, "EUR", 10, "two", 6), (key, "USD", 11, "", None), (key, "EUR", 10, "", None),
+            (key, "EUR", 12, "twelve", None), (None, "EUR", 10, "ten", None), (None, "EUR", None, "", 4), (None, "EUR", None, "", 3),
+            (None, "EUR", 10, "ten", None)]
+    assert rows(found, "sk_product_id", "currency", "price_id", "price_label", "recommended_price") == sorted(want, key=str)
