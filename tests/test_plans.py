@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -318,3 +319,45 @@ def test_prices_are_shuffled_by_product_once(spark):
             (key, "EUR", 12, "twelve", None), (None, "EUR", 10, "ten", None), (None, "EUR", None, "", 4), (None, "EUR", None, "", 3),
             (None, "EUR", 10, "ten", None)]
     assert rows(found, "sk_product_id", "currency", "price_id", "price_label", "recommended_price") == sorted(want, key=str)
+
+
+def test_wide_lines_are_shuffled_once_for_their_fact(spark):
+    fact = FACTS["fact_supplier_invoice_lines"]
+    made = D(2024, 1, 5)
+    headers = spark.createDataFrame([(1, made), (1, D(2024, 3, 1)), (2, made), (-1, made), (None, made), (4, made)], "id long, at timestamp_ntz")
+    data = [(1, 1, 7, 5), (1, 1, 7, 5), (1, 1, 7, 6), (1, 2, 9, 5), (1, 2, None, 4), (2, 1, 8, 3), (-1, 1, 7, 2), (None, 1, 7, 1), (9, 1, 7, 1)]
+    lines = spark.createDataFrame(data, "doc long, pos int, product int, quantity int")
+    columns = [
+        F.col("id").alias("nk_document_id"), F.lit(0).alias("nk_document_no"), F.col("pos").alias("nk_line_id"),
+        F.col("product").alias("nk_product_id"), F.col("at").cast("date").alias("invoice_date"), "quantity",
+    ]
+    # Product 7 has two versions that overlap, 8 none that is valid.
+    versions = [(7, "a", D(2024, 1, 1), D(2024, 2, 1)), (7, "b", D(2024, 1, 2), None), (8, "c", D(2024, 2, 1), None)]
+    kind = f"nk_product_id int, sk_product_id string, {START} timestamp_ntz, {END} timestamp_ntz"
+    dims = {"dim_product": spark.createDataFrame(versions, kind)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, staged = header_lines(headers, lines, [("id", "doc")], columns)
+        built = facts.build_fact(fact, staged, dims, F.lit(0))
+        plan = built._jdf.queryExecution().executedPlan().toString()
+        plain = facts.build_fact(replace(fact, near=None), staged, dims, F.lit(0))
+        assert built.columns == plain.columns and rows(built) == rows(plain)
+        found, wanted = (facts.look_up(f, staged, dims) for f in (fact, replace(fact, near=None)))
+        assert found.columns == wanted.columns and rows(found) == rows(wanted) and found.count() == 18
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The window of the versions and the one of the keys take the lines as their headers found them.
+    assert plan.count("Window [") == 2 and "Exchange" not in plan[: plan.index("Union")]
+
+
+def test_a_document_fact_with_several_lookups(spark):
+    fact = replace(FACTS["fact_serial_number_event"], near="nk_event_id")
+    at = D(2024, 1, 5)
+    data = [(1, 7, "K", 7, 7, at), (1, 7, "L", 7, None, at), (None, None, None, None, None, at), (None, 8, "K", 9, 7, at), (2, 7, "K", 7, 7, None)]
+    events = spark.createDataFrame(
+        data, "nk_event_id int, nk_product_id int, party_type_code string, nk_party_id int, "
+        "nk_responsible_employee_id int, event_date timestamp_ntz"
+    ).union(spark.createDataFrame(data[:1], "a int, b int, c string, d int, e int, f timestamp_ntz"))
+    dims = {l.dim: dim(spark, l.dim_key, l.take, 7) for l in fact.lookups}
+    found, wanted = (facts.look_up(f, events, dims) for f in (fact, replace(fact, near=None)))
+    assert found.columns == wanted.columns and rows(found) == rows(wanted) and found.count() == 6

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions.keys import row_hash
 from martflow.operators.control import advance, advance_table, read_watermark, since, table_maxima
+from martflow.operators.reduce import NEAR, near, with_key
 from martflow.operators.upsert import append_once, merge_frames, replace_period, replace_slice, upsert
 from martflow.sources import tables
 
@@ -89,6 +90,23 @@ def test_each_side_is_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2
 
 
+def test_a_merge_takes_rows_dealt_by_a_part_of_the_key(spark):
+    keys = ["k", "p"]
+    target = frame(spark, [(1, "x", "a", "o"), (1, "y", "b", "o"), (None, "x", "c", "o"), (-1, "x", "d", "o")])
+    source = frame(spark, [(1, "x", "A", "n"), (None, "x", "C", "n"), (1, "z", "e", "n"), (-1, "x", "d", "n")])
+    dealt = with_key(source.withColumn(NEAR, near("k", source.schema["k"].dataType)).repartition(NEAR), keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with tables.shuffled_by_part_of_key(spark):
+            got = merge_frames(target, dealt, keys, reduced=True, near_by="k")
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert plain(got) == plain(merge_frames(target, source, keys))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert spark.conf.get(tables.ALL_KEYS) == "true"
+
+
 def test_an_error_never_replaces_the_table(spark, database):
     table = f"{database}.t"
     upsert(spark, table, frame(spark, [(1, "x", "a", "old"), (2, "y", "b", "old")]), ["k"])
