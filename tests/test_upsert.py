@@ -261,6 +261,15 @@ def test_work_folder_comes_from_the_session(spark):
     assert copy.inputFiles()[0].replace("file://", "").startswith(folder) and copy.count() == 3
 
 
+def test_hexadecimal_text_is_stored_in_half_its_bytes(spark, database):
+    df = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("h"), (F.col("id") % 2).cast("string").alias("p"))
+    upsert(spark, f"{database}.t", df, ["h", "p"], partition_by=["p"], hash_col=None)
+    upsert(spark, f"{database}.t", df.withColumn("h", F.md5("h")), ["h", "p"], hash_col=None)
+    for stored in (tables.materialize(df), spark.read.table(f"{database}.t")):
+        sizes = [Path(f.removeprefix("file:")).stat().st_size for f in stored.inputFiles()]
+        assert sum(sizes) < 0.75 * 32 * stored.count()
+
+
 def test_a_write_leaves_no_shuffle_files(spark):
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     folders = [Path(str(d)) for d in manager.localDirs()]
