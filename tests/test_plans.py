@@ -340,9 +340,9 @@ def test_wide_lines_are_shuffled_once_for_their_fact(spark):
         _, staged = header_lines(headers, lines, [("id", "doc")], columns)
         built = facts.build_fact(fact, staged, dims, F.lit(0))
         plan = built._jdf.queryExecution().executedPlan().toString()
-        plain = facts.build_fact(replace(fact, near=None), staged, dims, F.lit(0))
+        plain = facts.build_fact(replace(fact, near=()), staged, dims, F.lit(0))
         assert built.columns == plain.columns and rows(built) == rows(plain)
-        found, wanted = (facts.look_up(f, staged, dims) for f in (fact, replace(fact, near=None)))
+        found, wanted = (facts.look_up(f, staged, dims) for f in (fact, replace(fact, near=())))
         assert found.columns == wanted.columns and rows(found) == rows(wanted) and found.count() == 18
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -351,7 +351,7 @@ def test_wide_lines_are_shuffled_once_for_their_fact(spark):
 
 
 def test_a_document_fact_with_several_lookups(spark):
-    fact = replace(FACTS["fact_serial_number_event"], near="nk_event_id")
+    fact = replace(FACTS["fact_serial_number_event"], near=("nk_event_id", "event_date"))
     at = D(2024, 1, 5)
     data = [(1, 7, "K", 7, 7, at), (1, 7, "L", 7, None, at), (None, None, None, None, None, at), (None, 8, "K", 9, 7, at), (2, 7, "K", 7, 7, None)]
     events = spark.createDataFrame(
@@ -359,5 +359,5 @@ def test_a_document_fact_with_several_lookups(spark):
         "nk_responsible_employee_id int, event_date timestamp_ntz"
     ).union(spark.createDataFrame(data[:1], "a int, b int, c string, d int, e int, f timestamp_ntz"))
     dims = {l.dim: dim(spark, l.dim_key, l.take, 7) for l in fact.lookups}
-    found, wanted = (facts.look_up(f, events, dims) for f in (fact, replace(fact, near=None)))
+    found, wanted = (facts.look_up(f, events, dims) for f in (fact, replace(fact, near=())))
     assert found.columns == wanted.columns and rows(found) == rows(wanted) and found.count() == 6

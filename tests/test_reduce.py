@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from martflow.operators.reduce import argmax_rows, keep_one, last_n, unique_or_fail
+from martflow.operators.reduce import argmax_rows, keep_one, last_n, near, unique_or_fail
 
 from .conftest import rows
 
@@ -33,3 +33,9 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = keep_one(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_rows_without_a_document_are_dealt_out_by_others(spark):
+    df = spark.createDataFrame([(1, 5), (1, 6), (None, 5), (None, 6), (None, 5)], "doc int, day int")
+    got = df.select("doc", "day", near("doc", df.schema["doc"].dataType, "day").alias("n")).distinct().collect()
+    assert all(r["n"] is not None for r in got) and len({r["n"] for r in got}) == 3

@@ -98,7 +98,7 @@ def test_a_merge_takes_rows_dealt_by_a_part_of_the_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         with tables.shuffled_by_part_of_key(spark):
-            got = merge_frames(target, dealt, keys, reduced=True, near_by="k")
+            got = merge_frames(target, dealt, keys, reduced=True, near_by=["k"])
             plan = got._jdf.queryExecution().executedPlan().toString()
             assert plain(got) == plain(merge_frames(target, source, keys))
     finally:
